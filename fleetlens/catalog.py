@@ -12,14 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import num, plain
+from fleetlens.operators import checks, drift, explain, promote, scoring, split, traffic, training
 from fleetlens.operators import distributions as di
+from fleetlens.operators import evaluate as ev
 from fleetlens.operators import failures as fa
 from fleetlens.operators import features as ft
 from fleetlens.operators import prototypes as fp
 from fleetlens.operators import quality as dq
 from fleetlens.operators import sensors as te
 from fleetlens.operators import service as ma
+from fleetlens.operators.ensemble import Ensemble, train_ensemble
+from fleetlens.operators.models import fit_boosted, fit_logistic
+from fleetlens.operators.preprocess import apply_columns, learn
+from fleetlens.schemas import STAGING_COLUMNS
+from fleetlens.session import scratch_root
+from fleetlens.sources import files
 from fleetlens.sources.fixtures import Fleet, fleet
+from fleetlens.streaming.run import drain
+from fleetlens.streaming.scoring import prediction_log_stream
+from fleetlens.streaming.traffic import latency_quantile_stream, request_rate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,5 +129,319 @@ def feature_queries() -> dict[str, Query]:
     }
 
 
+# Queries below train or write. They share one stored feature table and one
+# trained ensemble per folder, as separate jobs of a pipeline would.
+
+SMALL_GRID = {"max_depth": [2, 3], "learning_rate": [0.1], "n_estimators": [5]}
+SMALL_PARAMS = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5, "random_state": 42}
+LR_ITERATIONS = 100
+
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def _stored_path(f: Fleet, what: str, build: Callable[[str], object]) -> str:
+    key = (f.spark.sparkContext.applicationId, f.sf_dir, what)
+    if key not in _stored:
+        path = f"{scratch_root(f.spark)}/{what}"
+        build(path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def _features(f: Fleet) -> DataFrame:
+    path = _stored_path(f, "features", lambda p: files.store_features(ft.build_features(*_five(f)), p))
+    return files.read_features(f.spark, path)
+
+
+_splits: dict[tuple[str, str], training.Parts] = {}
+
+
+def _parts(f: Fleet) -> training.Parts:
+    key = (f.spark.sparkContext.applicationId, f.sf_dir)
+    if key not in _splits:
+        _splits[key] = training.split_parts(_features(f))
+    return _splits[key]
+
+
+def _ensemble_path(f: Fleet) -> str:
+    def train(path):
+        parts = _parts(f)
+        params = {k: v for k, v in SMALL_PARAMS.items() if k != "random_state"}
+        linear = fit_logistic(parts.fit_rows, max_iter=LR_ITERATIONS)
+        boosted = fit_boosted(parts.fit_rows, **params)
+        train_ensemble(linear, boosted, parts.val).save(f.spark, path)
+
+    return _stored_path(f, "ensemble", train)
+
+
+def _ensemble(f: Fleet) -> Ensemble:
+    return Ensemble.load(f.spark, _ensemble_path(f))
+
+
+def _scratch(f: Fleet) -> str:
+    return scratch_root(f.spark)
+
+
+def _raw_folder(f: Fleet, leave_out: tuple[str, ...] = ()) -> str:
+    """CSV files as the loader expects them."""
+    folder = _scratch(f)
+    names = {"machines": "PdM_machines.csv", "telemetry": "PdM_telemetry.csv", "errors": "PdM_errors.csv",
+             "maintenance": "PdM_maint.csv", "failures": "PdM_failures.csv"}
+    for table, name in names.items():
+        if table not in leave_out:
+            upper = [c.upper() for c in STAGING_COLUMNS[table]]
+            files.write_csv_text(f.table(f"staging_{table}").toDF(*upper), f"{folder}/{name}")
+    return folder
+
+
+def _csv_source(f: Fleet) -> DataFrame:
+    return files.read_csv_text(f.spark, f"{_raw_folder(f)}/PdM_telemetry.csv")
+
+
+def _csv_folder(f: Fleet) -> DataFrame:
+    return files.loaded_report(*files.read_staging(f.spark, _raw_folder(f, leave_out=("maintenance",))))
+
+
+def _base_load(f: Fleet, repeats: int) -> DataFrame:
+    """CSV to base tables; loading twice must leave the same tables."""
+    staging, _ = files.read_staging(f.spark, _raw_folder(f))
+    folder = _scratch(f)
+    for _ in range(repeats):
+        stored = files.load_base_tables(promote.promote(staging), folder)
+    return dq.row_counts(stored)
+
+
+def _prediction_log(f: Fleet) -> str:
+    def build(path):
+        files.append_log(scoring.log_rows(_ensemble(f), _features(f)), path)
+
+    return _stored_path(f, "prediction_log", build)
+
+
+def _logged(f: Fleet) -> DataFrame:
+    return files.read_prediction_log(f.spark, _prediction_log(f))
+
+
+def _monitor_log(f: Fleet) -> DataFrame:
+    path = f"{_scratch(f)}/model_monitoring"
+    files.append_log(drift.monitoring_rows(_fixture_drift(f)), path)
+    return f.spark.read.parquet(path)
+
+
+def _metric_export(f: Fleet) -> DataFrame:
+    path = f"{_scratch(f)}/metrics"
+    scored = ev.predict_at(f.scored, 0.3)
+    files.export_json(_rounded(ev.report(scored)), f"{path}/json")
+    return f.spark.read.json(f"{path}/json")
+
+
+def _importance_export(f: Fleet) -> DataFrame:
+    path = f"{_scratch(f)}/importance"
+    files.export_csv(_ensemble(f).linear.importance(f.spark), path)
+    return files.read_csv_text(f.spark, path)
+
+
+def storage_queries() -> dict[str, Query]:
+    return {
+        "s1_csv_source": _on(_csv_source),
+        "s2_csv_folder": _on(_csv_folder),
+        "s3_base_load": _on(lambda f: _base_load(f, 1)),
+        "s4_feature_store": _on(lambda f: _features(f).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))),
+        "s5_repeated_load": _on(lambda f: _base_load(f, 2)),
+        "s6_feature_read": _on(_features),
+        "s7_prediction_log": _on(lambda f: f.spark.read.parquet(_prediction_log(f))),
+        "s8_monitoring_log": _on(lambda f: _rounded(plain(_monitor_log(f)), 4)),
+        "s9_reference_sample": _on(lambda f: files.reference_sample(_features(f), 5000)),
+        "s10_log_read": _on(lambda f: _logged(f).agg(F.count(F.lit(1)).alias("logged"))),
+        "s11_metric_export": _on(_metric_export),
+        "s11_importance_export": _on(_importance_export),
+        "p1_machines": _on(lambda f: promote.machines(f.table("staging_machines"))),
+        "p2_telemetry": _on(lambda f: promote.telemetry(f.table("staging_telemetry"))),
+        "p3_errors": _on(lambda f: promote.errors(f.table("staging_errors"))),
+        "p4_maintenance": _on(lambda f: promote.maintenance(f.table("staging_maintenance"))),
+        "p5_failures": _on(lambda f: promote.failures(f.table("staging_failures"))),
+    }
+
+
+def check_queries() -> dict[str, Query]:
+    required = ["datetime", "machineid"]
+    return {
+        "c1_primary_key": _on(lambda f: checks.repeated_keys(f.telemetry, "machineid", "datetime")),
+        "c1_machine_key": _on(lambda f: checks.repeated_keys(f.machines, "machineid")),
+        "c2_foreign_key": _on(lambda f: checks.missing_parents({
+            "telemetry": f.telemetry, "errors": f.errors, "maintenance": f.maintenance,
+            "failures": f.failures}, f.machines)),
+        "c3_not_null": _on(lambda f: checks.null_values({
+            "machines": (f.machines, ["machineid", "model", "age"]),
+            "telemetry": (f.telemetry, [*required, "volt"]),
+            "errors": (f.errors, [*required, "errorid"]),
+            "maintenance": (f.maintenance, [*required, "comp"]),
+            "failures": (f.failures, [*required, "failure"])})),
+        # Half the scores are pushed out of range so that the rule finds something.
+        "c4_check": _on(lambda f: checks.failed_checks(
+            f.scored.select((F.col("score") * 4).alias("p"), (F.col("label") * 2).alias("y")),
+            checks.prediction_rules("p", "y"))),
+        "c5_unique_observation": _on(lambda f: checks.repeated_keys(
+            _features(f), "machineid", "observation_time").agg(F.count(F.lit(1)).alias("repeated"))),
+    }
+
+
+def _named(f: Fleet, columns: Callable) -> DataFrame:
+    rows = _features(f)
+    keys = ["machineid", "observation_time"]
+    return _rounded(apply_columns(rows, columns(rows), keys))
+
+
+def _imputed(rows: DataFrame):
+    prep = learn(rows)
+    return {name: prep.imputed(name) for name in prep.numeric}
+
+
+def _standardised(rows: DataFrame):
+    prep = learn(rows)
+    return {name: prep.scaled(name) for name in prep.numeric}
+
+
+def _cross_validation(f: Fleet) -> DataFrame:
+    return training.cross_validate(_parts(f).train, max_iter=LR_ITERATIONS)
+
+
+def _ablation(f: Fleet) -> DataFrame:
+    weight = split.positive_weight(_features(f)).first()["scale_pos_weight"]
+    return training.ablation(_parts(f), SMALL_PARAMS | {"scale_pos_weight": weight})
+
+
+def _round_trip(f: Fleet) -> DataFrame:
+    """Rows whose score changes when the ensemble is saved and loaded again."""
+    first = _ensemble(f)
+    path = f"{_scratch(f)}/copy"
+    first.save(f.spark, path)
+    rows = first.score(_features(f), "before")
+    again = Ensemble.load(f.spark, path).score(rows.drop("p_linear", "p_boosted"), "after")
+    return again.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("before") - F.col("after"))).alias("largest_change"))
+
+
+def model_queries() -> dict[str, Query]:
+    keys = ["machineid", "observation_time", "label"]
+    return {
+        "m1_stratified_split": _on(lambda f: split.stratified_split(_features(f)).select(*keys, "split")),
+        "m2_positive_weight": _on(lambda f: _rounded(split.positive_weight(_features(f)))),
+        "m3_balanced_weight": _on(lambda f: _rounded(split.balanced_weights(_features(f)))),
+        "m4_imputed": _on(lambda f: _named(f, _imputed)),
+        "m5_standardised": _on(lambda f: _named(f, _standardised)),
+        "m6_one_hot": _on(lambda f: _named(f, lambda rows: learn(rows).dummies())),
+        "m7_logistic": _on(lambda f: training.test_report(
+            fit_logistic(_parts(f).fit_rows, max_iter=LR_ITERATIONS), _parts(f).test)),
+        "m8_cross_validation": _on(_cross_validation),
+        "m9_boosted": _on(lambda f: training.test_report(
+            fit_boosted(_parts(f).fit_rows, max_depth=3, learning_rate=0.1, n_estimators=5), _parts(f).test)),
+        "m10_grid_search": _on(lambda f: training.search(
+            _parts(f).train, _parts(f).val, SMALL_GRID,
+            split.positive_weight(_features(f)).first()["scale_pos_weight"])[1]),
+        "m11_refit_and_test": _on(lambda f: training.train_boosted(_parts(f), SMALL_GRID)[2]),
+        "m12_coefficients": _on(lambda f: _ensemble(f).linear.importance(f.spark)),
+        "m12_gains": _on(lambda f: _ensemble(f).boosted.importance(f.spark)),
+        "m13_stacked": _on(lambda f: _ensemble(f).stack(_features(f)).select(*keys, "p_linear", "p_boosted")),
+        "m14_meta_learner": _on(lambda f: _ensemble(f).evaluate(_parts(f).test)),
+        "m15_threshold_sweep": _on(lambda f: ev.threshold_sweep(f.scored)),
+        "m15_best_threshold": _on(lambda f: ev.best_threshold(f.scored)),
+        "m16_predict": _on(lambda f: ev.predict_at(f.scored, 0.3).select("event_id", "score", "predicted")),
+        "m17_ablation": _on(_ablation),
+        "m18_round_trip": _on(_round_trip),
+    }
+
+
+def evaluation_queries() -> dict[str, Query]:
+    def hard(f):
+        return ev.predict_at(f.scored, 0.3)
+
+    return {
+        "e1_confusion": _on(lambda f: ev.confusion(hard(f))),
+        "e2_pr_auc": _on(lambda f: _rounded(ev.curve_areas(f.scored)).select("pr_auc")),
+        "e3_average_precision": _on(lambda f: _rounded(ev.curve_areas(f.scored)).select("average_precision")),
+        "e4_rates": _on(lambda f: _rounded(ev.rates(ev.confusion(hard(f)))).drop("business_cost")),
+        "e5_business_cost": _on(lambda f: ev.rates(ev.confusion(hard(f))).select("business_cost")),
+        "e6_class_distribution": _on(lambda f: ev.class_distribution(f.scored)),
+    }
+
+
+FIXTURE_NUMERIC = ["k", "value"]
+FIXTURE_CATEGORICAL = ["event_type"]
+
+
+def _fixture_log(f: Fleet, extra: tuple[str, ...] = ()) -> DataFrame:
+    return drift.logged_features(f.table("prediction_log"), [*FIXTURE_NUMERIC, *extra], FIXTURE_CATEGORICAL)
+
+
+def _fixture_drift(f: Fleet, test: str = drift.WASSERSTEIN) -> DataFrame:
+    return drift.drift_by_column(f.table("baseline"), _fixture_log(f), FIXTURE_NUMERIC, FIXTURE_CATEGORICAL, test)
+
+
+def _feature_drift(f: Fleet) -> DataFrame:
+    """Logged predictions against the sampled training baseline, all 43 features."""
+    return drift.drift_by_column(files.reference_sample(_features(f)), drift.logged_features(_logged(f)))
+
+
+def scoring_queries() -> dict[str, Query]:
+    return {
+        "b1_batch_scores": _on(lambda f: scoring.score_batch(_ensemble(f), _features(f))),
+        "b2_risk_level": _on(lambda f: f.scored.select(
+            "event_id", "score", scoring.risk_level(F.col("score"), 0.3).alias("risk_level"))),
+        "b3_feature_map": _on(lambda f: scoring.from_feature_map(
+            f.table("prediction_log").drop("ts"), "features", FIXTURE_NUMERIC, FIXTURE_CATEGORICAL)),
+        "b4_linear_impacts": _on(lambda f: explain.linear_impacts(_ensemble(f).linear, _features(f))),
+        "b4_tree_impacts": _on(lambda f: explain.tree_impacts(
+            _ensemble(f).boosted, f"{_ensemble_path(f)}/boosted", _features(f))),
+        "b4_tree_impacts_dashboard": _on(lambda f: explain.tree_impacts(
+            _ensemble(f).boosted, f"{_ensemble_path(f)}/boosted", _features(f), 7)),
+        "b5_log_rows": _on(lambda f: scoring.log_rows(
+            _ensemble(f), _features(f), F.col("observation_time")).drop("failure_probability", "predicted_label")),
+        "b6_logged_features": _on(lambda f: _fixture_log(f, ("age",))),
+        "b7_drift_gate": _on(lambda f: drift.drift_gate(_fixture_log(f))),
+        "b8_column_drift": _on(lambda f: _rounded(_fixture_drift(f))),
+        "b8_column_drift_ks": _on(lambda f: _rounded(_fixture_drift(f, drift.KOLMOGOROV))),
+        "b8_feature_drift": _on(lambda f: _rounded(_feature_drift(f))),
+        "b9_dataset_drift": _on(lambda f: drift.dataset_drift(_fixture_drift(f))),
+        "b10_monitoring_rows": _on(lambda f: _rounded(plain(drift.monitoring_rows(_fixture_drift(f))), 4)),
+        "b11_request_rate": _on(lambda f: _rounded(traffic.request_rate(f.requests, "handler"))),
+        "b12_status_rate": _on(lambda f: _rounded(traffic.request_rate(f.requests, "status"))),
+        "b13_latency_p95": _on(lambda f: _rounded(traffic.latency_quantile(f.requests))),
+    }
+
+
+def _request_stream(f: Fleet) -> DataFrame:
+    schema = f.parquet("events").schema
+    events = (f.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir))
+    return events.select(
+        "ts", F.col("event_type").alias("handler"), F.col("value").alias("latency_ms"),
+        F.when(F.col("user_id") % 20 == 0, 500).otherwise(200).alias("status"))
+
+
+def _drained(f: Fleet, stream: DataFrame) -> DataFrame:
+    folder = _scratch(f)
+    return drain(stream, f"{folder}/out", f"{folder}/checkpoint")
+
+
+def _scoring_stream(f: Fleet) -> DataFrame:
+    stored = _features(f)
+    path = _stored[(f.spark.sparkContext.applicationId, f.sf_dir, "features")]
+    observations = f.spark.readStream.schema(stored.schema).parquet(path)
+    return _drained(f, prediction_log_stream(_ensemble(f), observations))
+
+
+def stream_queries() -> dict[str, Query]:
+    return {
+        "b11_request_rate_stream": _on(lambda f: _rounded(_drained(
+            f, request_rate_stream(_request_stream(f), "handler")))),
+        "b12_status_rate_stream": _on(lambda f: _rounded(_drained(
+            f, request_rate_stream(_request_stream(f), "status")))),
+        "b13_latency_p95_stream": _on(lambda f: _rounded(_drained(
+            f, latency_quantile_stream(_request_stream(f))))),
+        "b5_prediction_log_stream": _on(_scoring_stream),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return quality_queries() | exploration_queries() | feature_queries()
+    return (quality_queries() | exploration_queries() | feature_queries() | storage_queries()
+            | check_queries() | model_queries() | evaluation_queries() | scoring_queries() | stream_queries())

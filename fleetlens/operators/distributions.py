@@ -69,10 +69,10 @@ def failure_types_by_model(machines: DataFrame, failures: DataFrame, more_than:
 def pareto(machines: DataFrame, failures: DataFrame) -> DataFrame:
     """Machines by falling failure count with their cumulative share."""
     per_machine = failures_per_machine(machines, failures)
-    total = per_machine.agg(F.sum("total_failures").alias("t")).scalar()
     ranked = running_totals(
         per_machine, {"t": -F.col("total_failures"), "m": F.col("machineid")}, ["total_failures"]
     )
+    total = F.col("all_total_failures")
     return ranked.select(
         "machineid", "model", "age", "total_failures",
         pct(F.col("total_failures"), total).alias("pct_of_total"),

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -34,3 +34,15 @@ def scratch_root(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="fleetlens-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return local
+
+
+def stored(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and continue from there.
+
+    Cuts the lineage before iterative work: each iteration then reads a plain
+    table, and a lost executor costs a re-read instead of a recomputation.
+    """
+    path = scratch_root(df.sparkSession)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(f"{path}/table")
+    return df.sparkSession.read.parquet(f"{path}/table")

@@ -56,6 +56,17 @@ TABLE_SQL = {
         SELECT event_id, ts, event_type AS handler, value AS latency_ms,
                CASE WHEN user_id % 20 = 0 THEN 500 ELSE 200 END AS status
         FROM events""",
+    # Feature values as observed (first half of the month: training baseline) ...
+    "baseline": """
+        SELECT event_id, {K} AS k, CAST(value AS DOUBLE) AS value, event_type
+        FROM events WHERE ts < {HALF}""",
+    # ... and as logged with predictions (second half, one feature shifted).
+    "prediction_log": """
+        SELECT event_id, ts,
+               CONCAT('{{"k": ', CAST(CAST({K} * 1.5 AS DECIMAL(12,2)) AS {S}),
+                      ', "value": ', CAST(CAST(value AS DECIMAL(12,2)) AS {S}),
+                      ', "event_type": "', event_type, '"}}') AS features
+        FROM events WHERE ts >= {HALF}""",
     # Untidy text as it would land from CSV.
     "staging_machines": """
         SELECT CONCAT(' ', CAST(s_suppkey AS {S}), ' ') AS machineid,
@@ -98,7 +109,10 @@ TABLE_SQL = {
 
 def duck_sql(table: str) -> str:
     """The same mapping in DuckDB's dialect, as a parenthesised subquery."""
-    return "(" + TABLE_SQL[table].format(S="VARCHAR", HOUR="date_trunc('hour', ts)") + ")"
+    return "(" + TABLE_SQL[table].format(
+        S="VARCHAR", HOUR="date_trunc('hour', ts)", HALF="TIMESTAMP '2024-01-16 00:00:00'",
+        K="CAST(json_extract_string(props, '$.k') AS DOUBLE)",
+    ) + ")"
 
 
 @dataclass(frozen=True)
@@ -113,10 +127,13 @@ class Fleet:
 
     def table(self, name: str) -> DataFrame:
         sql = TABLE_SQL[name].format(
-            S="STRING", HOUR="CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ)"
+            S="STRING", HOUR="CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ)",
+            HALF="TIMESTAMP_NTZ '2024-01-16 00:00:00'",
+            K="CAST(get_json_object(props, '$.k') AS DOUBLE)",
         )
         source = "supplier" if "FROM supplier" in sql else "events"
-        return self.spark.sql(sql.replace(f"FROM {source}", "FROM {src}"), src=self.parquet(source))
+        self.parquet(source).createOrReplaceTempView(f"fixture_{source}")
+        return self.spark.sql(sql.replace(f"FROM {source}", f"FROM fixture_{source}"))
 
     @property
     def machines(self) -> DataFrame:
