@@ -18,6 +18,15 @@ def rnd(x: Column, digits: int) -> Column:
     return F.round(x.cast("decimal(20,10)"), digits)
 
 
+def rnd_sql(x: str, digits: int) -> str:
+    """``rnd`` as SQL text."""
+    return f"round(CAST({x} AS DECIMAL(20,10)), {digits})"
+
+
+def num_sql(x: str, digits: int) -> str:
+    return f"CAST({rnd_sql(x, digits)} AS DOUBLE)"
+
+
 def num(x: Column, digits: int) -> Column:
     """``rnd`` as a double, for query results."""
     return rnd(x, digits).cast("double")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.ages import PRODUCTION, age_category
-from fleetlens.functions.columns import DAY, HOUR, from_micros, micros, rnd
+from fleetlens.functions.columns import DAY, HOUR, micros, rnd, rnd_sql
 from fleetlens.plans.cells import CELL, CellWindow, event_parts, over_cells
 from fleetlens.schemas import (
     EVENT_TYPE_COLUMN,
@@ -18,8 +18,13 @@ from fleetlens.schemas import (
     sensor_features,
 )
 
+OBSERVED = "CAST(timestamp_micros(u) AS TIMESTAMP_NTZ) AS observation_time"
+
 # Readings carry four decimals; sums run over whole ten-thousandths.
 SCALE = 10_000
+# Squares are summed in two parts, multiples of this and the rest: each part
+# stays within 64 bits for ninety billion readings, and nothing is rounded.
+SPLIT = 100_000_000
 
 
 def static_features(machines: DataFrame, limits=PRODUCTION) -> DataFrame:
@@ -43,56 +48,55 @@ def _one(name: str) -> Column:
 
 
 def _sensor_measures(telemetry: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    cols = ["machineid", micros(F.col("datetime")).alias("u"), _one("k")]
-    combine = {"k": "sum"}
+    """Per reading and sensor: count, sum, sum of squares in two parts, minimum, maximum."""
+    cols, combine = ["1L AS k"], {"k": "sum"}
     for raw in SENSORS:
-        reading = F.col(raw).cast(READING_TYPE)
-        scaled = (reading * SCALE).cast("bigint")
+        reading = f"CAST({raw} AS {READING_TYPE})"
+        scaled = f"CAST({reading} * {SCALE} AS BIGINT)"
         cols += [
-            F.when(reading.isNotNull(), F.lit(1).cast("bigint")).alias(f"{raw}_n"),
-            scaled.alias(f"{raw}_s"),
-            (scaled * scaled).cast("decimal(18,0)").alias(f"{raw}_q"),
-            reading.alias(f"{raw}_lo"),
-            reading.alias(f"{raw}_hi"),
+            f"CASE WHEN {raw} IS NOT NULL THEN 1L END AS {raw}_n",
+            f"{scaled} AS {raw}_s",
+            f"{scaled} * {scaled} div {SPLIT} AS {raw}_q",
+            f"{scaled} * {scaled} % {SPLIT} AS {raw}_r",
+            f"{reading} AS {raw}_min",
+            f"{reading} AS {raw}_max",
         ]
-        combine |= {f"{raw}_n": "sum", f"{raw}_s": "sum", f"{raw}_q": "sum",
-                    f"{raw}_lo": "min", f"{raw}_hi": "max"}
-    return telemetry.select(*cols), combine
+        combine |= {f"{raw}_{m}": "sum" for m in "nsqr"} | {f"{raw}_min": "min", f"{raw}_max": "max"}
+    timed_rows = telemetry.select("machineid", micros(F.col("datetime")).alias("u"), *SENSORS)
+    return timed_rows.selectExpr("machineid", "u", *cols), combine
 
 
-def _sensor_windows(w: CellWindow) -> list[Column]:
+def _sensor_windows(w: CellWindow) -> list[str]:
     cols = []
     for hours in WINDOW_HOURS:
         for raw, sensor in SENSORS.items():
-            n, s, q = (w.back(f"{raw}_{m}", hours * HOUR) for m in "nsq")
-            cols += [n.alias(f"{sensor}_n_{hours}h"), s.alias(f"{sensor}_s_{hours}h"),
-                     q.alias(f"{sensor}_q_{hours}h")]
+            cols += [f"{w.back(f'{raw}_{m}', hours * HOUR)} AS {sensor}_{m}_{hours}h" for m in "nsqr"]
             if hours == 3:
                 cols += [
-                    w.extreme(F.min, f"{raw}_lo", 3 * HOUR).alias(f"{sensor}_min_3h"),
-                    w.extreme(F.max, f"{raw}_hi", 3 * HOUR).alias(f"{sensor}_max_3h"),
+                    f"{w.extreme('min', f'{raw}_min', 3 * HOUR)} AS {sensor}_min_3h",
+                    f"{w.extreme('max', f'{raw}_max', 3 * HOUR)} AS {sensor}_max_3h",
                 ]
     return cols
 
 
-def _sensor_results() -> list[Column]:
+def _sensor_results() -> list[str]:
     """Mean and population std from count, sum and sum of squares."""
     cols = []
     for name in sensor_features():
         sensor, stat, window = name.rsplit("_", 2)
-        n, s, q = (F.col(f"{sensor}_{m}_{window}") for m in "nsq")
-        count = F.nullif(n, F.lit(0)).cast("double")
+        n, s, q, r = (f"{sensor}_{m}_{window}" for m in "nsqr")
+        count = f"nullif(CAST({n} AS DOUBLE), 0D)"
         if stat == "mean":
-            value = rnd(s / count / SCALE, 4)
+            value = rnd_sql(f"{s} / {count} / {SCALE}", 4)
         elif stat == "std":
             # n * sum(x^2) - sum(x)^2 is a whole number, hence exact.
-            spread = n.cast("decimal(12,0)") * q.cast("decimal(25,0)") - (
-                s.cast("decimal(18,0)") * s.cast("decimal(18,0)")
-            )
-            value = rnd(F.sqrt(spread.cast("double")) / count / SCALE, 4)
+            squares = f"(CAST({q} AS DECIMAL(18,0)) * {SPLIT} + CAST({r} AS DECIMAL(18,0)))"
+            spread = (f"CAST({n} AS DECIMAL(12,0)) * CAST({squares} AS DECIMAL(25,0))"
+                      f" - CAST({s} AS DECIMAL(18,0)) * CAST({s} AS DECIMAL(18,0))")
+            value = rnd_sql(f"sqrt(CAST({spread} AS DOUBLE)) / {count} / {SCALE}", 4)
         else:
-            value = F.col(name)
-        cols.append(value.cast(READING_TYPE).alias(name))
+            value = name
+        cols.append(f"CAST({value} AS {READING_TYPE}) AS {name}")
     return cols
 
 
@@ -100,7 +104,7 @@ def rolling_sensors(telemetry: DataFrame, cell: int = CELL) -> DataFrame:
     """32 rolling columns over (t - h, t] for 3, 12 and 24 hours."""
     spine, combine = _sensor_measures(telemetry)
     out = over_cells([spine], {}, combine, _sensor_windows, lookback=DAY, cell=cell)
-    return out.select("machineid", from_micros(F.col("u")).alias("observation_time"), *_sensor_results())
+    return out.selectExpr("machineid", OBSERVED, *_sensor_results())
 
 
 def _events(errors=None, maintenance=None, failures=None) -> dict[str, list[DataFrame]]:
@@ -116,40 +120,40 @@ def _event_combine(events: dict[str, list[DataFrame]]) -> dict[str, str]:
     return {part.columns[-1]: "sum" for parts in events.values() for part in parts}
 
 
-def _since(name: str, unit: int, w: CellWindow) -> Column:
-    return rnd((F.col("u") - w.last(name)) / unit, 2).cast(RECENCY_TYPE)
+def _since(name: str, unit: int, w: CellWindow) -> str:
+    return f"CAST({rnd_sql(f'(u - {w.last(name)}) / {unit}', 2)} AS {RECENCY_TYPE})"
 
 
-def _copies(dedupe: bool) -> Column:
+def _copies(dedupe: bool) -> str:
     """Plain counts run over the join with readings, so k copies of a reading count k times."""
-    return F.lit(1) if dedupe else F.col("k")
+    return "1" if dedupe else "k"
 
 
-def _error_windows(w: CellWindow, dedupe: bool) -> list[Column]:
+def _error_windows(w: CellWindow, dedupe: bool) -> list[str]:
     return [
-        (w.back("errors_n", DAY) * _copies(dedupe)).cast("int").alias("error_count_24h"),
-        _since("errors", HOUR, w).alias("hours_since_last_error"),
-        w.total("errors_new").cast("int").alias("distinct_error_types"),
+        f"CAST({w.back('errors_n', DAY)} * {_copies(dedupe)} AS INT) AS error_count_24h",
+        f"{_since('errors', HOUR, w)} AS hours_since_last_error",
+        f"CAST({w.total('errors_new')} AS INT) AS distinct_error_types",
     ]
 
 
-def _service_windows(w: CellWindow) -> list[Column]:
+def _service_windows(w: CellWindow) -> list[str]:
     return [
-        _since("maintenance", DAY, w).alias("days_since_last_maintenance"),
-        w.total("maintenance_new").cast("int").alias("component_diversity"),
+        f"{_since('maintenance', DAY, w)} AS days_since_last_maintenance",
+        f"CAST({w.total('maintenance_new')} AS INT) AS component_diversity",
     ]
 
 
-def _failure_windows(w: CellWindow, dedupe: bool) -> list[Column]:
+def _failure_windows(w: CellWindow, dedupe: bool) -> list[str]:
     return [
-        (w.total("failures_n") * _copies(dedupe)).cast("int").alias("total_prior_failures"),
-        _since("failures", DAY, w).alias("days_since_last_failure"),
-        w.total("failures_new").cast("int").alias("distinct_failure_types"),
+        f"CAST({w.total('failures_n')} * {_copies(dedupe)} AS INT) AS total_prior_failures",
+        f"{_since('failures', DAY, w)} AS days_since_last_failure",
+        f"CAST({w.total('failures_new')} AS INT) AS distinct_failure_types",
     ]
 
 
-def _label(w: CellWindow) -> Column:
-    return (w.ahead("failures_n", DAY) > 0).cast("int").alias("label")
+def _label(w: CellWindow) -> str:
+    return f"CAST({w.ahead('failures_n', DAY)} > 0 AS INT) AS label"
 
 
 def _event_features(telemetry, events, build, *, carry=(), lookback=0, lookahead=0, cell=CELL):
@@ -158,7 +162,7 @@ def _event_features(telemetry, events, build, *, carry=(), lookback=0, lookahead
         carry=list(carry), lookback=lookback, lookahead=lookahead, cell=cell,
     )
     rest = [c for c in out.columns if c not in ("machineid", "u", "k")]
-    return out.select("machineid", from_micros(F.col("u")).alias("observation_time"), *rest)
+    return out.selectExpr("machineid", OBSERVED, *rest)
 
 
 def error_features(telemetry, errors, dedupe: bool = False, cell: int = CELL) -> DataFrame:
@@ -198,8 +202,7 @@ def build_features(machines, telemetry, errors, maintenance, failures,
         carry=list(events), lookback=DAY, lookahead=DAY, cell=cell,
     )
     event_cols = [c for c in FEATURES if c in out.columns and c not in sensor_features()]
-    wide = out.select("machineid", from_micros(F.col("u")).alias("observation_time"),
-                      *_sensor_results(), *event_cols, "label")
+    wide = out.selectExpr("machineid", OBSERVED, *_sensor_results(), *event_cols, "label")
     joined = wide.join(static_features(machines), "machineid", "left")
     return joined.select("machineid", "observation_time", "model", "age", "age_category",
                          *sensor_features(), *event_cols, "label")

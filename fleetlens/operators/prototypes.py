@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.ages import PROTOTYPE
-from fleetlens.functions.columns import DAY, HOUR, from_micros, num
-from fleetlens.operators.features import readings_spine, static_features, timed
+from fleetlens.functions.columns import DAY, HOUR, num_sql
+from fleetlens.operators.features import OBSERVED, readings_spine, static_features, timed
 from fleetlens.operators.sensors import failures_ahead, placed_readings
 from fleetlens.plans.cells import event_parts, over_cells, trailing_rows
 from fleetlens.schemas import SENSORS
@@ -44,32 +44,33 @@ def _history(telemetry, events, build, **how) -> DataFrame:
     combine = {"k": "sum"} | {f"{name}_n": "sum" for name in events}
     out = over_cells([readings_spine(telemetry)], events, combine, build, **how)
     rest = [c for c in out.columns if c not in ("machineid", "u", "k")]
-    return out.select("machineid", from_micros(F.col("u")).alias("observation_time"), *rest)
+    return out.selectExpr("machineid", OBSERVED, *rest)
 
 
-def _error_columns(w, copies: Column) -> list[Column]:
+def _error_columns(w, copies: str) -> list[str]:
     last = w.last("errors")
-    recent = F.when(last > F.col("u") - DAY, last)
+    recent = f"CASE WHEN {last} > u - {DAY} THEN {last} END"
     return [
-        (w.back("errors_n", DAY) * copies).alias("error_count_24h"),
-        num((F.col("u") - recent) / HOUR, 2).alias("hours_since_last_error"),
+        f"{w.back('errors_n', DAY)} * {copies} AS error_count_24h",
+        f"{num_sql(f'(u - {recent}) / {HOUR}', 2)} AS hours_since_last_error",
     ]
 
 
-def _service_columns(w) -> list[Column]:
-    return [num((F.col("u") - w.last("maintenance")) / DAY, 2).alias("days_since_last_maintenance")]
+def _service_columns(w) -> list[str]:
+    return [f"{num_sql(f'(u - {w.last('maintenance')}) / {DAY}', 2)} AS days_since_last_maintenance"]
 
 
-def _failure_columns(w, copies: Column) -> list[Column]:
+def _failure_columns(w, copies: str) -> list[str]:
+    last = w.last("failures", strict=True)
     return [
-        (w.total("failures_n", strict=True) * copies).alias("total_prior_failures"),
-        num((F.col("u") - w.last("failures", strict=True)) / DAY, 2).alias("days_since_last_failure"),
+        f"{w.total('failures_n', strict=True)} * {copies} AS total_prior_failures",
+        f"{num_sql(f'(u - {last}) / {DAY}', 2)} AS days_since_last_failure",
     ]
 
 
 def errors_prototype(telemetry: DataFrame, errors: DataFrame) -> DataFrame:
     """Errors in (t - 24 h, t] and hours since the last of them."""
-    return _history(telemetry, _events("errors", errors), lambda w: _error_columns(w, F.lit(1)),
+    return _history(telemetry, _events("errors", errors), lambda w: _error_columns(w, "1"),
                     lookback=DAY)
 
 
@@ -79,7 +80,7 @@ def service_prototype(telemetry: DataFrame, maintenance: DataFrame) -> DataFrame
 
 def failures_prototype(telemetry: DataFrame, failures: DataFrame) -> DataFrame:
     """Failures strictly before t."""
-    return _history(telemetry, _events("failures", failures), lambda w: _failure_columns(w, F.lit(1)),
+    return _history(telemetry, _events("failures", failures), lambda w: _failure_columns(w, "1"),
                     carry=["failures"])
 
 
@@ -91,8 +92,8 @@ def assembled_prototype(machines, telemetry, errors, maintenance, failures) -> D
     events = (_events("errors", errors) | _events("maintenance", maintenance) | _events("failures", failures))
     history = _history(
         telemetry, events,
-        lambda w: [*_error_columns(w, F.col("k")), *_service_columns(w), *_failure_columns(w, F.col("k")),
-                   (w.ahead("failures_n", DAY) > 0).cast("int").alias("label")],
+        lambda w: [*_error_columns(w, "k"), *_service_columns(w), *_failure_columns(w, "k"),
+                   f"CAST({w.ahead('failures_n', DAY)} > 0 AS INT) AS label"],
         carry=list(events), lookback=DAY, lookahead=DAY,
     )
     rows = rolling_prototype(telemetry).join(history, ["machineid", "observation_time"])

@@ -69,7 +69,7 @@ def failure_rate_after_service(maintenance: DataFrame, failures: DataFrame, days
     ahead = over_cells(
         [_spine(services)], {"failures": event_parts("failures", _failure_times(failures), None)},
         {"k": "sum", "failures_n": "sum"},
-        lambda w: [w.ahead("failures_n", days * DAY).alias("hits")],
+        lambda w: [f"{w.ahead('failures_n', days * DAY)} AS hits"],
         lookahead=days * DAY,
     ).drop("k")
     per_time = services.groupBy("machineid", "u", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -107,7 +107,7 @@ def time_to_next_failure(maintenance: DataFrame, failures: DataFrame) -> DataFra
         [_spine(flipped(services))],
         {"failures": event_parts("failures", flipped(_failure_times(failures)), None)},
         {"k": "sum", "failures_n": "sum"},
-        lambda w: [(-w.last("failures", strict=True)).alias("next_u")],
+        lambda w: [f"-{w.last('failures', strict=True)} AS next_u"],
         carry=["failures"],
     ).select("machineid", (-F.col("u")).alias("u"), "next_u").where(F.col("next_u").isNotNull())
     gaps = services.distinct().join(following, ["machineid", "u"]).withColumn(

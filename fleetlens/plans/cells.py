@@ -38,12 +38,13 @@ def cell_of(u: Column, width: int = CELL) -> Column:
 def merge_by_time(parts: list[DataFrame], combine: dict[str, str], key: str = "machineid") -> DataFrame:
     """One row per (key, u) out of several row sets.
 
-    ``combine`` maps a measure to sum, min or max. Repeated keys collapse
-    before the shuffle, so a group of copies costs one row per task.
+    ``combine`` maps a measure to sum, min or max; sums of nothing are 0.
+    Repeated keys collapse before the shuffle, so a group of copies costs one
+    row per task.
     """
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    how = {"sum": F.sum, "min": F.min, "max": F.max}
-    return rows.groupBy(key, "u").agg(*[how[f](c).alias(c) for c, f in combine.items()])
+    text = {"sum": "coalesce(sum({c}), 0) AS {c}", "min": "min({c}) AS {c}", "max": "max({c}) AS {c}"}
+    return rows.groupBy(key, "u").agg(*[F.expr(text[f].format(c=c)) for c, f in combine.items()])
 
 
 def event_parts(name: str, events: DataFrame, kind: str | None, key: str = "machineid") -> list[DataFrame]:
@@ -56,49 +57,55 @@ def event_parts(name: str, events: DataFrame, kind: str | None, key: str = "mach
 
 
 class CellWindow:
-    """Column builders for the window over one (machine, cell)."""
+    """SQL text for windows over one (machine, cell).
+
+    Text rather than Column objects: a feature pass has about a hundred window
+    expressions, and one parsed select is much quicker to set up.
+    """
 
     def __init__(self, key: str, carried: list[str] = ()):
-        self.by_time = Window.partitionBy(key, "cell").orderBy("u")
+        self.key = key
         self.carried = set(carried)
 
-    def upto(self, offset: int = 0):
-        return self.by_time.rangeBetween(Window.unboundedPreceding, offset)
+    def over(self, start: str, end: str) -> str:
+        return f"OVER (PARTITION BY {self.key}, cell ORDER BY u RANGE BETWEEN {start} AND {end})"
 
-    def back(self, measure: str, span: int) -> Column:
+    def upto(self, offset: int = 0) -> str:
+        """From the start of the cell to t + offset."""
+        end = "CURRENT ROW" if offset == 0 else f"{abs(offset)}L {'FOLLOWING' if offset > 0 else 'PRECEDING'}"
+        return self.over("UNBOUNDED PRECEDING", end)
+
+    def back(self, measure: str, span: int) -> str:
         """Sum over (t - span, t]."""
-        return self._running(measure, 0) - self._running(measure, -span)
+        return f"(sum({measure}) {self.upto()} - coalesce(sum({measure}) {self.upto(-span)}, 0))"
 
-    def ahead(self, measure: str, span: int) -> Column:
+    def ahead(self, measure: str, span: int) -> str:
         """Sum over (t, t + span]."""
-        return self._running(measure, span) - self._running(measure, 0)
+        return f"(sum({measure}) {self.upto(span)} - sum({measure}) {self.upto()})"
 
-    def extreme(self, func, measure: str, span: int) -> Column:
+    def extreme(self, func: str, measure: str, span: int) -> str:
         """Minimum or maximum over (t - span, t]."""
-        return func(measure).over(self.by_time.rangeBetween(-span + 1, 0))
+        return f"{func}({measure}) {self.over(f'{span - 1}L PRECEDING', 'CURRENT ROW')}"
 
-    def total(self, measure: str, strict: bool = False) -> Column:
+    def total(self, measure: str, strict: bool = False) -> str:
         """Sum over all rows up to t (before t if strict)."""
-        seen = F.coalesce(F.col(f"before_{measure}"), F.when(F.col("own"), F.col(measure)))
-        return F.coalesce(F.sum(seen).over(self.upto(-1 if strict else 0)), F.lit(0))
+        seen = f"coalesce(before_{measure}, CASE WHEN own THEN {measure} END)"
+        return f"coalesce(sum({seen}) {self.upto(-1 if strict else 0)}, 0)"
 
-    def last(self, name: str, strict: bool = False) -> Column:
+    def last(self, name: str, strict: bool = False) -> str:
         """Time of the latest event up to t (before t if strict); without carry,
         of the latest one inside the cell and its halo."""
-        seen = F.when(F.col(f"{name}_n") > 0, F.col("u"))
+        seen = f"CASE WHEN {name}_n > 0 THEN u END"
         if name in self.carried:
-            seen = F.coalesce(F.col(f"before_{name}_u"), seen)
-        return F.max(seen).over(self.upto(-1 if strict else 0))
-
-    def _running(self, measure: str, offset: int) -> Column:
-        return F.coalesce(F.sum(measure).over(self.upto(offset)), F.lit(0))
+            seen = f"coalesce(before_{name}_u, {seen})"
+        return f"max({seen}) {self.upto(-1 if strict else 0)}"
 
 
 def over_cells(
     spine: list[DataFrame],
     events: dict[str, list[DataFrame]],
     combine: dict[str, str],
-    build: Callable[[CellWindow], list[Column]],
+    build: Callable[[CellWindow], list[str]],
     *,
     carry: list[str] = (),
     lookback: int = 0,
@@ -111,32 +118,30 @@ def over_cells(
     spine    row sets with key, u, ``k`` (1 per row) and any measures
     events   name -> parts from ``event_parts``
     combine  aggregate per measure, see ``merge_by_time``
-    build    window -> output columns
+    build    window -> output columns as SQL text
     carry    names of events whose whole past matters
     """
     width = max(cell, lookback, lookahead)
     all_events = [part for parts in events.values() for part in parts]
     rows = merge_by_time([*spine, *all_events], combine, key)
 
-    home = cell_of(F.col("u"), width)
-    into_next = F.when(F.col("u") > home + width - lookback, home + width)
-    into_previous = F.when(F.col("u") < home + lookahead, home - width)
+    home = f"(u - pmod(u, {width}L))"
     copies = [home]
     if lookback:
-        copies.append(into_next)
+        copies.append(f"CASE WHEN u > {home} + {width - lookback}L THEN {home} + {width}L END")
     if lookahead:
-        copies.append(into_previous)
-    placed = rows.withColumn("cell", F.explode(F.array_compact(F.array(*copies))) if len(copies) > 1 else home)
+        copies.append(f"CASE WHEN u < {home} + {lookahead}L THEN {home} - {width}L END")
+    cells = f"explode(array_compact(array({', '.join(copies)})))" if len(copies) > 1 else home
+    placed = rows.selectExpr("*", f"{cells} AS cell")
+    own = f"cell = {home}"
     if carry:
         placed = placed.unionByName(
             _carry_rows(spine, {n: events[n] for n in carry}, key, width, lookback),
             allowMissingColumns=True,
         )
-    else:
-        placed = placed.withColumn("is_carry", F.lit(None).cast("boolean"))
-    placed = placed.withColumn("own", (F.col("cell") == home) & F.col("is_carry").isNull())
-    built = placed.select(key, "u", "own", "k", *build(CellWindow(key, carry)))
-    return built.where(F.col("own") & (F.col("k") > 0)).drop("own")
+        own += " AND is_carry IS NULL"
+    built = placed.selectExpr("*", f"{own} AS own").selectExpr(key, "u", "own", "k", *build(CellWindow(key, carry)))
+    return built.where("own AND k > 0").drop("own")
 
 
 def _carry_rows(spine, events, key, width, lookback) -> DataFrame:

@@ -33,8 +33,8 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<measure>``, the sum up to and including each row, and ``all_<measure>``.
 
-    ``order`` names the ascending sort expressions; together with ``group``
-    they should identify a row. ``previous`` adds ``prev_<name>``, the value of
+    ``order`` names the ascending sort expressions; together with ``group``, a
+    column with few values, they should identify a row. ``previous`` adds ``prev_<name>``, the value of
     the first sort expression in the row before.
     """
     group = list(group)
@@ -50,7 +50,8 @@ def running_totals(
     )
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    # Groups span neighbouring ranges, so there are at most splits + groups rows here.
+    # A group spans neighbouring ranges, so there are at most splits + groups rows
+    # here. Groups are listed columns, never data keys: safe to broadcast.
     offsets = per_range.select(
         *[F.col(g).alias(f"_g_{g}") for g in group],
         F.col("range").alias("_range"),
@@ -69,4 +70,4 @@ def running_totals(
     running = {f"r_{m}": F.sum(m).over(inside) for m in measures}
     if previous:
         running["r_prev"] = F.lag(lead).over(inside)
-    return placed.withColumns(running).join(offsets, match).select(*rows.columns, *totals, *before)
+    return placed.withColumns(running).join(F.broadcast(offsets), match).select(*rows.columns, *totals, *before)

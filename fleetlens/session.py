@@ -19,6 +19,10 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # The JVM never compiles methods above 8000 bytes. Wide feature projections
+    # would exceed that as one whole-stage method and run interpreted; below
+    # the limit Spark generates them split into small methods instead.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
