@@ -57,11 +57,8 @@ class Preparation:
 def learn(rows: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
           categorical: list[str] = CATEGORICAL_FEATURES, scale: bool = True) -> Preparation:
     """One aggregate for all numeric columns and one per categorical column."""
-    stats = []
-    for name in numeric:
-        x = F.col(name).cast("double")
-        stats += [F.avg(x), F.var_pop(x), F.count(x)]
-    result = rows.agg(*[s.alias(f"s{i}") for i, s in enumerate(stats)], F.count(F.lit(1)).alias("n")).first()
+    stats = [f"{f}(CAST({name} AS DOUBLE))" for name in numeric for f in ("avg", "var_pop", "count")]
+    result = rows.selectExpr(*[f"{s} AS s{i}" for i, s in enumerate(stats)], "count(*) AS n").first()
     means, scales = {}, {}
     for i, name in enumerate(numeric):
         mean, variance, present = result[3 * i], result[3 * i + 1], result[3 * i + 2]
