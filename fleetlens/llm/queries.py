@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import langid, packing, tokenfiles
+from fleetlens.llm import langid, packing, quality, simhash, tokenfiles
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rules = quality.learn_rules(quality.labelled(docs, _table(spark, sf_dir, "labels")))
+    return quality.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents"), *BYTE_BPE)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -43,6 +55,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": op1_quality_rules,
+        "op4_simhash": op4_simhash,
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
         "op10_language_id": op10_language_id,
