@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import langid, packing, quality, simhash, tokenfiles
+from fleetlens.llm import chat, langid, packing, quality, simhash, tokenfiles
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    read = chat.conversations(chat.windows(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents"), *BYTE_BPE)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -57,6 +71,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op4_simhash": op4_simhash,
+        "op7_chat_format": op7_chat_format,
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
         "op10_language_id": op10_language_id,
