@@ -202,7 +202,8 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -
     """Features and quality of labelled documents, about ``max_rows`` of them at most.
 
     With more labels those with the smallest hashes of doc_id are taken. Null
-    ids and null labels are left out; a document labelled twice counts twice.
+    ids and null labels are left out, and so are documents that fail the base
+    rules; a document labelled twice counts twice.
     """
     usable = labels.select(F.col("doc_id").cast("long"), "quality").where("doc_id is not null and quality is not null")
     n = usable.count()
@@ -213,7 +214,8 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -
     wanted = F.broadcast(usable)
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(3)).alias("part")
-    return statistics(chosen).join(wanted, "doc_id").select(*FEATURES, "quality", part).toPandas()
+    # What the base rules reject needs no learned rule.
+    return statistics(chosen).where(~base_failed()).join(wanted, "doc_id").select(*FEATURES, "quality", part).toPandas()
 
 
 def decision(rules: list[Rule]) -> Column:
