@@ -138,11 +138,17 @@ class Rule:
 
 
 def _candidates(rows: pd.DataFrame) -> Iterator[Condition]:
+    """Thresholds midway between neighbouring values, spread by quantiles."""
     for feature in FEATURES:
-        values = np.unique(np.quantile(rows[feature], np.linspace(0, 1, THRESHOLDS + 1)[1:-1]))
-        for v in values:
+        values = np.unique(rows[feature])
+        if len(values) < 2:
+            continue
+        middle = (values[:-1] + values[1:]) / 2
+        spread = np.quantile(rows[feature], np.linspace(0, 1, THRESHOLDS + 1)[1:-1])
+        at = np.clip(np.searchsorted(values, spread, side="right") - 1, 0, len(middle) - 1)
+        for threshold in middle[np.unique(at)]:
             for above in (False, True):
-                yield Condition(feature, above, float(v))
+                yield Condition(feature, above, float(threshold))
 
 
 def _grow(rows: pd.DataFrame, bad: np.ndarray) -> list[Condition]:
