@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, langid, packing, quality, simhash, tokenfiles
+from fleetlens.llm import chat, decontaminate, langid, packing, quality, simhash, tokenfiles
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = "\\### Assistant: </turn> ok"
     more = spark.range(2).select(
@@ -71,6 +78,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op4_simhash": op4_simhash,
+        "op5_decontamination": op5_decontamination,
         "op7_chat_format": op7_chat_format,
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
