@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, langid, packing, quality, simhash, tokenfiles
+from fleetlens.llm import chat, decontaminate, langid, lines, packing, quality, simhash, tokenfiles
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedupe_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = "\\### Assistant: </turn> ok"
     more = spark.range(2).select(
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
+        "op6_line_dedup": op6_line_dedup,
         "op7_chat_format": op7_chat_format,
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
