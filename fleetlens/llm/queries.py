@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, langid, lines, packing, quality, simhash, tokenfiles
+from fleetlens.llm import chat, decontaminate, langid, lines, packing, pii, quality, simhash, tokenfiles
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base.kind", pii.is_kind(kind))).cast("long").alias(f"n_{kind}")
+              for kind in pii.PATTERNS]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -82,6 +90,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_pii": op2_pii,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op6_line_dedup": op6_line_dedup,
