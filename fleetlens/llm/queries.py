@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, langid, lines, packing, pii, quality, simhash, tokenfiles
+from fleetlens.llm import chat, decontaminate, langid, lines, packing, pii, quality, simhash, substrings, tokenfiles
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.written(F.col("spans")).alias("spans"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -91,6 +96,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_pii": op2_pii,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op6_line_dedup": op6_line_dedup,
