@@ -104,18 +104,19 @@ def intersect(index: DataFrame, rarest: DataFrame, slack: int = 0) -> DataFrame:
 
 
 def phrase_matches(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Every row of ``docs`` as doc_id, n_words and ``matches`` (start, len, win) found word for word.
+    """Every row of ``docs`` as row (its columns), n_words and ``matches`` (start, len, win) found word for word.
 
     The candidates of a document are fewer than its words times the windows
     that share a rarest term; documents with equal ids are compared each.
     """
     per_doc = found.groupBy(F.col("doc_id").alias("in_doc")).agg(F.collect_set(F.struct("start", "win")).alias("found"))
-    held = docs.select("doc_id", "text").join(per_doc, F.expr("doc_id <=> in_doc"), "left")
-    held = held.select("doc_id", words(F.col("text")).alias("w"), "found")
+    held = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")).join(
+        per_doc, F.col("row.doc_id").eqNullSafe(F.col("in_doc")), "left")
+    held = held.select("row", words(F.col("row.text")).alias("w"), "found")
     sized = F.transform(F.coalesce("found", F.array().cast("array<struct<start:int,win:string>>")), lambda c: F.struct(
         c["start"].alias("start"), F.size(F.split(c["win"], " ")).alias("len"), c["win"].alias("win")))
     same = F.filter(sized, lambda c: F.array_join(F.slice("w", c["start"] + 1, c["len"]), " ") == c["win"])
-    return held.select("doc_id", F.size("w").cast("long").alias("n_words"), same.alias("matches"))
+    return held.select("row", F.size("w").cast("long").alias("n_words"), same.alias("matches"))
 
 
 def hit_words(matches: Column) -> Column:
@@ -135,14 +136,30 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataF
     Other columns are ignored; empty tables give no rows, or no hits.
     """
     windows = stored(benchmark_windows(items, size), "windows")
-    rarest = stored(rarest_terms(docs, windows), "rarest")
-    found = intersect(positional_index(docs, rarest), rarest)
-    matched = stored(phrase_matches(docs, found).withColumn("n_hit", hit_words(F.col("matches"))), "matched")
-    wins = matched.where("n_hit > 0").select("doc_id", F.explode("matches.win").alias("win")).distinct()
+    matched = _matched(docs.select("doc_id", "text"), windows).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.col("matches.win").alias("wins"))
+    matched = stored(matched, "matched")
+    wins = matched.where("n_hit > 0").select("doc_id", F.explode("wins").alias("win")).distinct()
     by_doc = wins.join(windows, "win").select(F.col("doc_id").alias("of"), F.col("item_id").cast("string")).groupBy("of").agg(
         F.array_sort(F.collect_set("item_id")).alias("items"))
     none = F.array().cast("array<string>")
     return matched.join(by_doc, F.expr("doc_id <=> of"), "left").select(
         "doc_id", "n_words", "n_hit",
         F.when(F.col("n_hit") > 0, F.coalesce("items", none)).otherwise(none).alias("items"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        _too_many().alias("contaminated"))
+
+
+def _matched(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    rarest = stored(rarest_terms(docs, windows), "rarest")
+    found = intersect(positional_index(docs, rarest), rarest)
+    return phrase_matches(docs, found).withColumn("n_hit", hit_words(F.col("matches")))
+
+
+def _too_many() -> Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """Rows of ``docs`` that are not contaminated, columns as they are."""
+    matched = _matched(docs, stored(benchmark_windows(items, size), "windows"))
+    return matched.where(~_too_many()).select("row.*")

@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.llm.shared import slices
 
@@ -82,14 +83,16 @@ def statistics(docs: DataFrame) -> DataFrame:
     measured = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _measure, ", ".join(["doc_id long", *(f"{c} long" for c in STATISTICS)]))
 
+    return measured.withColumns(_rates())
+
+
+def _rates() -> dict[str, Column]:
     def rate(part: str, whole: str) -> Column:
         return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
 
-    return measured.withColumns({
-        "mean_word": rate("word_chars", "n_words"), "symbol_rate": rate("n_symbols", "n_words"),
-        "dup_line_rate": rate("n_dup_lines", "n_lines"), "repeat_rate": rate("n_repeat_words", "n_words"),
-        "upper_rate": rate("n_upper_words", "n_words"),
-    })
+    return {"mean_word": rate("word_chars", "n_words"), "symbol_rate": rate("n_symbols", "n_words"),
+            "dup_line_rate": rate("n_dup_lines", "n_lines"), "repeat_rate": rate("n_repeat_words", "n_words"),
+            "upper_rate": rate("n_upper_words", "n_words")}
 
 
 def base_failed() -> Column:
@@ -236,3 +239,22 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """``statistics`` with base_failed, rule (0: none) and kept."""
     judged = statistics(docs).withColumns({"base_failed": base_failed(), "rule": decision(rules)})
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rows of ``docs`` that neither the base rules nor a learned rule reject, columns as they are.
+
+    Statistics are taken where the text is: no join and no shuffle.
+    """
+    names = docs.columns
+    held = docs.select(F.struct(*(docs[c] for c in names)).alias("row"), docs["text"])
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [_statistics(t or "") for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), *(pa.array(c, pa.int64()) for c in zip(*rows))], names=["row", *STATISTICS])
+
+    fields = [held.schema["row"], *(T.StructField(c, T.LongType()) for c in STATISTICS)]
+    measured = held.mapInArrow(measure, T.StructType(fields)).withColumns(_rates())
+    return measured.where(~base_failed() & (decision(rules) == 0)).select("row.*")

@@ -47,8 +47,10 @@ def _fingerprint(text: str, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * set_bits > len(rows)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (64 bits as a signed long), one row per row of ``docs``.
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, body: Column | None = None) -> DataFrame:
+    """doc_id, body and fp (64 bits as a signed long), one row per row of ``docs``.
+
+    ``body`` is any number that tells texts apart, 0 if not given.
 
     A text of fewer words than a shingle is one shingle; a null text, or one
     without words, has fingerprint 0. Other columns are ignored.
@@ -56,9 +58,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = [_fingerprint(t or "", shingle) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("body"), pa.array(fps, pa.int64())], names=["doc_id", "body", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", (F.lit(0) if body is None else body).cast("long").alias("body"))
+    return rows.mapInArrow(of, "doc_id long, body long, fp long")
 
 
 def hex_digits(fp: str = "fp") -> Column:
@@ -177,3 +180,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     named = placed.groupBy("label").agg(F.min("first").alias("component_id"))
     ids = placed.join(named, "label").select("fp", "component_id")
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, columns as they are.
+
+    The row of the smallest doc_id stays (of several with that id, the text with
+    the smallest hash). A row is known by its id and its text's hash, so
+    repeated rows are one document, and different texts under one id are two.
+    Rows without doc_id are named by their text alone.
+    """
+    body = F.xxhash64("text")
+    rows = stored(fingerprints(docs, shingle, body), "fingerprints")
+    labels = components(fingerprint_links(rows.select("fp").distinct()))
+    placed = rows.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        F.struct("doc_id", "body").alias("row"), F.coalesce("label", "fp").alias("label"))
+    # A null id sorts first in a struct; it must not win over an id.
+    first = F.min(F.when(F.col("row.doc_id").isNotNull(), F.col("row")))
+    keep = placed.groupBy("label").agg(F.coalesce(first, F.min("row")).alias("keep")).select(
+        F.col("keep.doc_id").alias("keep_id"), F.col("keep.body").alias("keep_body"))
+    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (body == F.col("keep_body")), "left_semi")
+    repeated = rows.groupBy("doc_id", "body").count().where("count > 1").select(
+        F.col("doc_id").alias("twice_id"), F.col("body").alias("twice_body"))
+    if repeated.isEmpty():
+        return kept
+    twice = F.col("doc_id").cast("long").eqNullSafe(F.col("twice_id")) & (body == F.col("twice_body"))
+    return kept.join(repeated, twice, "left_anti").unionByName(
+        kept.join(repeated, twice, "left_semi").dropDuplicates(["doc_id", "text"]))
