@@ -92,7 +92,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.model = self.tokenizer.model
+        self.model, self.size = self.tokenizer.model, self.tokenizer.get_vocab_size()
         # How the library writes the UTF-8 bytes of Latin letters.
         by_library = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.written = {c: by_library(chr(c))[0][0] for c in range(256) if chr(c).isalpha()}

@@ -3,9 +3,10 @@
 A file is an Arrow IPC file (a stream with a footer) of uncompressed record
 batches, so a reader maps it and reaches any sequence without copying:
 
-    ids   fixed-size list of uint32   ``length`` token ids
-    mask  fixed-size list of uint8    0 padding, 1 token, 2 last token of a document
+    ids   fixed-size list of uint16   ``length`` token ids; uint32 for over 65,536 ids
+    mask  fixed-size list of bool     false on padding
     docs  list of int64               ids of the documents that end in the sequence
+    ends  list of int32               where in the sequence their last token is
 
 Files follow each other in ascending doc_id; a document lies in one file. Only
 a file's last sequence is padded. A manifest table names the files in order.
@@ -36,18 +37,19 @@ def _open(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length)),
-                      ("docs", pa.list_(pa.int64()))])
+def _schema(length: int, ids: int) -> pa.Schema:
+    kind = pa.uint16() if ids <= 1 << 16 else pa.uint32()
+    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length)),
+                      ("docs", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32()))])
 
 
 class _Writer:
     """One file; holds at most a batch of sequences and one document."""
 
-    def __init__(self, uri: str, length: int):
+    def __init__(self, uri: str, length: int, ids: int):
         self.fs, path = _open(uri)
         self.fs.create_dir(path.rpartition("/")[0])
-        self.schema, self.length = _schema(length), length
+        self.schema, self.length = _schema(length, ids), length
         self.sink = self.fs.open_output_stream(path)
         self.out = pa.ipc.new_file(self.sink, self.schema)
         self.ids, self.held, self.ends, self.docs = [], 0, [], []
@@ -63,21 +65,23 @@ class _Writer:
     def _flush(self, sequences: int) -> None:
         size = sequences * self.length
         ids = np.concatenate(self.ids)
-        mask = np.ones(len(ids), dtype=np.uint8)
         ends = np.array(self.ends, dtype=np.int64)
-        mask[ends] = 2
-        if len(ids) < size:  # the file's end
-            ids, mask = (np.pad(a, (0, size - len(a))) for a in (ids, mask))
+        kind = self.schema.field("ids").type.value_type
         done = int(np.searchsorted(ends, size))
         cuts = np.searchsorted(ends[:done], np.arange(sequences + 1) * self.length)
         for at in range(0, sequences, _BATCH):  # a long document fills many batches
             to = min(sequences, at + _BATCH)
-            part = slice(at * self.length, to * self.length)
+            part = ids[at * self.length:to * self.length]
+            mask = np.arange((to - at) * self.length) < len(part)
+            if len(part) < len(mask):  # the file's end
+                part = np.pad(part, (0, len(mask) - len(part)))
+            inside = slice(cuts[at], cuts[to])
+            offsets = pa.array(cuts[at:to + 1] - cuts[at], pa.int32())
             self.out.write_batch(pa.RecordBatch.from_arrays([
-                pa.FixedSizeListArray.from_arrays(pa.array(ids[part]), self.length),
-                pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), self.length),
-                pa.ListArray.from_arrays(pa.array(cuts[at:to + 1] - cuts[at], pa.int32()),
-                                         pa.array(self.docs[cuts[at]:cuts[to]], pa.int64())),
+                pa.FixedSizeListArray.from_arrays(pa.array(part.astype(kind.to_pandas_dtype())), self.length),
+                pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length),
+                pa.ListArray.from_arrays(offsets, pa.array(self.docs[inside], pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(ends[inside] % self.length, pa.int32())),
             ], schema=self.schema))
         self.ids, self.held = [ids[size:]], max(0, self.held - size)
         self.ends, self.docs = [e - size for e in self.ends[done:]], self.docs[done:]
@@ -107,12 +111,12 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, length: int =
         part = TaskContext.get().partitionId()
         uri, end = f"{path}/tokens-{part:06d}-{uuid.uuid4().hex[:12]}.arrow", np.array([end_id], dtype=np.uint32)
         writer, first, n_docs, n_tokens = None, None, 0, 0
-        ids_of = encoder(WordTokens, vocabulary).encode
+        words = encoder(WordTokens, vocabulary)
         for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
             if writer is None:
-                writer, first = _Writer(uri, length), ids[0]
-            for doc, raw in zip(ids, ids_of([t or "" for t in batch.column("text").to_pylist()])):
+                writer, first = _Writer(uri, length, max(end_id + 1, words.size)), ids[0]
+            for doc, raw in zip(ids, words.encode([t or "" for t in batch.column("text").to_pylist()])):
                 tokens = np.concatenate([np.frombuffer(raw, dtype="<u4"), end])
                 writer.add(doc, tokens)
                 n_docs += 1
@@ -143,8 +147,10 @@ def _documents(uri: str) -> Iterator[tuple[int | None, np.ndarray]]:
         reader, rest = pa.ipc.open_file(source), np.empty(0, dtype=np.uint32)
         for k in range(reader.num_record_batches):
             batch = reader.get_batch(k)
-            ids = np.concatenate([rest, batch.column("ids").flatten().to_numpy()])
-            ends = np.flatnonzero(batch.column("mask").flatten().to_numpy() == 2) + len(rest) + 1
+            ids = np.concatenate([rest, batch.column("ids").flatten().to_numpy().astype(np.uint32)])
+            first = np.repeat(np.arange(batch.num_rows) * batch.column("ids").type.list_size,
+                              batch.column("ends").value_lengths().to_numpy())
+            ends = first + batch.column("ends").flatten().to_numpy() + len(rest) + 1
             start = 0
             for doc, end in zip(batch.column("docs").flatten().to_pylist(), ends):
                 yield doc, ids[start:end]
