@@ -188,7 +188,8 @@ def read_documents(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 if rows[0]:
                     yield out()
 
-    files = placed.select("path", "base").repartition(F.col("path"))
+    # A number of its own: the manifest is small, what its rows stand for is not.
+    files = placed.select("path", "base").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
