@@ -222,9 +222,13 @@ def _logged(f: Fleet) -> DataFrame:
     return files.read_prediction_log(f.spark, _prediction_log(f))
 
 
+def _monitored(f: Fleet) -> DataFrame:
+    return drift.monitoring_rows(_fixture_drift(f), F.lit("2024-02-01 06:00:00").cast("timestamp"))
+
+
 def _monitor_log(f: Fleet) -> DataFrame:
     path = f"{_scratch(f)}/model_monitoring"
-    files.append_log(drift.monitoring_rows(_fixture_drift(f)), path)
+    files.append_log(_monitored(f), path)
     return f.spark.read.parquet(path)
 
 
@@ -379,17 +383,21 @@ FIXTURE_NUMERIC = ["k", "value"]
 FIXTURE_CATEGORICAL = ["event_type"]
 
 
-def _fixture_log(f: Fleet, extra: tuple[str, ...] = ()) -> DataFrame:
-    return drift.logged_features(f.table("prediction_log"), [*FIXTURE_NUMERIC, *extra], FIXTURE_CATEGORICAL)
+def _fixture_log(f: Fleet, extra: tuple[str, ...] = (), since: str | None = None) -> DataFrame:
+    log = f.table("prediction_log")
+    log = log.where(F.col("ts") >= F.lit(since).cast("timestamp")) if since else log
+    return drift.logged_features(log, [*FIXTURE_NUMERIC, *extra], FIXTURE_CATEGORICAL)
 
 
 def _fixture_drift(f: Fleet, test: str = drift.WASSERSTEIN) -> DataFrame:
-    return drift.drift_by_column(f.table("baseline"), _fixture_log(f), FIXTURE_NUMERIC, FIXTURE_CATEGORICAL, test)
+    more = ("age", "flat")
+    log = _fixture_log(f, more, "2024-01-16")
+    return drift.drift_by_column(f.table("baseline"), log, [*FIXTURE_NUMERIC, *more], FIXTURE_CATEGORICAL, test)
 
 
 def _feature_drift(f: Fleet) -> DataFrame:
-    """Logged predictions against the sampled training baseline, all 43 features."""
-    return drift.drift_by_column(files.reference_sample(_features(f)), drift.logged_features(_logged(f)))
+    """Logged predictions against the training baseline, all 43 features, all rows."""
+    return drift.drift_by_column(_features(f), drift.logged_features(_logged(f)))
 
 
 def scoring_queries() -> dict[str, Query]:
@@ -410,9 +418,10 @@ def scoring_queries() -> dict[str, Query]:
         "b7_drift_gate": _on(lambda f: drift.drift_gate(_fixture_log(f))),
         "b8_column_drift": _on(lambda f: _rounded(_fixture_drift(f))),
         "b8_column_drift_ks": _on(lambda f: _rounded(_fixture_drift(f, drift.KOLMOGOROV))),
+        "b8_column_drift_psi": _on(lambda f: _rounded(_fixture_drift(f, drift.STABILITY))),
         "b8_feature_drift": _on(lambda f: _rounded(_feature_drift(f))),
         "b9_dataset_drift": _on(lambda f: drift.dataset_drift(_fixture_drift(f))),
-        "b10_monitoring_rows": _on(lambda f: _rounded(plain(drift.monitoring_rows(_fixture_drift(f))), 4)),
+        "b10_monitoring_rows": _on(lambda f: _rounded(plain(_monitored(f)), 4)),
         "b11_request_rate": _on(lambda f: _rounded(traffic.request_rate(f.requests, "handler"))),
         "b12_status_rate": _on(lambda f: _rounded(traffic.request_rate(f.requests, "status"))),
         "b13_latency_p95": _on(lambda f: _rounded(traffic.latency_quantile(f.requests))),
@@ -421,15 +430,19 @@ def scoring_queries() -> dict[str, Query]:
 
 def _request_stream(f: Fleet) -> DataFrame:
     schema = f.parquet("events").schema
-    events = (f.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir))
+    events = f.spark.readStream.schema(schema).parquet(f"{f.sf_dir}/events.parque[t]")  # a file or a folder of files
     return events.select(
         "ts", F.col("event_type").alias("handler"), F.col("value").alias("latency_ms"),
         F.when(F.col("user_id") % 20 == 0, 500).otherwise(200).alias("status"))
 
 
-def _drained(f: Fleet, stream: DataFrame) -> DataFrame:
+def _stream_folders(f: Fleet) -> tuple[str, str]:
     folder = _scratch(f)
-    return drain(stream, f"{folder}/out", f"{folder}/checkpoint")
+    return f"{folder}/out", f"{folder}/checkpoint"
+
+
+def _drained(f: Fleet, stream: DataFrame) -> DataFrame:
+    return drain(stream, *_stream_folders(f))
 
 
 def _scoring_stream(f: Fleet) -> DataFrame:
@@ -441,12 +454,12 @@ def _scoring_stream(f: Fleet) -> DataFrame:
 
 def stream_queries() -> dict[str, Query]:
     return {
-        "b11_request_rate_stream": _on(lambda f: _rounded(_drained(
-            f, request_rate_stream(_request_stream(f), "handler")))),
-        "b12_status_rate_stream": _on(lambda f: _rounded(_drained(
-            f, request_rate_stream(_request_stream(f), "status")))),
-        "b13_latency_p95_stream": _on(lambda f: _rounded(_drained(
-            f, latency_quantile_stream(_request_stream(f))))),
+        "b11_request_rate_stream": _on(lambda f: _rounded(
+            request_rate_stream(_request_stream(f), "handler", *_stream_folders(f)))),
+        "b12_status_rate_stream": _on(lambda f: _rounded(
+            request_rate_stream(_request_stream(f), "status", *_stream_folders(f)))),
+        "b13_latency_p95_stream": _on(lambda f: _rounded(
+            latency_quantile_stream(_request_stream(f), *_stream_folders(f)))),
         "b5_prediction_log_stream": _on(_scoring_stream),
     }
 

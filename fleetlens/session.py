@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings that results depend on.
+    """Pin the runtime settings that results depend on, for the whole session.
 
     Base tables use zone-less timestamps; UTC keeps their conversion to epoch
     microseconds free of daylight-saving jumps.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # A value that does not fit its type fails a load instead of becoming null.
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # The JVM never compiles methods above 8000 bytes. Wide feature projections
@@ -29,12 +32,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate files.
 
-    A cluster names one in ``spark.checkpoint.dir``; a local temporary folder
-    is used only where that setting is absent (tests on one machine).
+    A cluster names one in ``spark.checkpoint.dir`` (or by ``setCheckpointDir``).
+    Without one, a local temporary folder serves a session on one machine, and
+    anything else fails: executors would not see each other's files.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/fleetlens-{uuid.uuid4().hex}"
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     local = tempfile.mkdtemp(prefix="fleetlens-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return local

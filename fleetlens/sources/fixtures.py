@@ -58,15 +58,17 @@ TABLE_SQL = {
         FROM events""",
     # Feature values as observed (first half of the month: training baseline) ...
     "baseline": """
-        SELECT event_id, {K} AS k, CAST(value AS DOUBLE) AS value, event_type
+        SELECT event_id, {K} AS k, CAST(value AS DOUBLE) AS value, event_type,
+               CAST(event_id % 20 AS DOUBLE) AS age, CAST(1 AS DOUBLE) AS flat
         FROM events WHERE ts < {HALF}""",
-    # ... and as logged with predictions (second half, one feature shifted).
+    # ... and as logged with predictions: one feature shifted, one never logged,
+    # one constant and moved. Drift compares the second half of the month.
     "prediction_log": """
         SELECT event_id, ts,
                CONCAT('{{"k": ', CAST(CAST({K} * 1.5 AS DECIMAL(12,2)) AS {S}),
-                      ', "value": ', CAST(CAST(value AS DECIMAL(12,2)) AS {S}),
+                      ', "value": ', CAST(CAST(value AS DECIMAL(12,2)) AS {S}), ', "flat": 2',
                       ', "event_type": "', event_type, '"}}') AS features
-        FROM events WHERE ts >= {HALF}""",
+        FROM events""",
     # Untidy text as it would land from CSV.
     "staging_machines": """
         SELECT CONCAT(' ', CAST(s_suppkey AS {S}), ' ') AS machineid,

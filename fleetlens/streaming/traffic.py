@@ -1,33 +1,44 @@
-"""The traffic queries as streams: event-time windows, one minute of lateness."""
+"""The traffic queries as streams.
+
+A stream only adds up five-second slots, one folder of partial results per
+micro-batch; windows are summed from slots when they are read. So no row is too
+late, no window waits for a watermark, and a batch that runs again replaces
+what it had written.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.operators.traffic import (
-    RANGE_SECONDS,
-    STEP_SECONDS,
+    BUCKETS_MS,
     bucket_counts,
-    bucket_quantile,
+    latency_quantiles,
+    rate_sums,
+    rates,
+    slots,
 )
 
-LATENESS = "1 minute"
 
+def _partials(requests: DataFrame, key: str, sums: dict[str, Column], out: str, checkpoint: str) -> DataFrame:
+    """Process all available input and return the slots gathered so far."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        slots(batch, key, sums).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-def _windows(requests: DataFrame, key: str, sums: dict) -> DataFrame:
-    timed = requests.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", LATENESS)
-    span = F.window("ts", f"{RANGE_SECONDS} seconds", f"{STEP_SECONDS} seconds")
-    counted = timed.groupBy(key, span.alias("w")).agg(*[s.alias(n) for n, s in sums.items()])
-    return counted.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                          F.col("w.end").cast("timestamp_ntz").alias("window_end"), *sums)
+    query = (requests.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    empty = requests.sparkSession.createDataFrame([], requests.schema)
+    return requests.sparkSession.read.schema(slots(empty, key, sums).schema).parquet(out)
 
 
-def request_rate_stream(requests: DataFrame, key: str) -> DataFrame:
-    counts = _windows(requests, key, {"requests": F.count(F.lit(1))})
-    return counts.withColumn("rate", F.col("requests") / RANGE_SECONDS)
+def request_rate_stream(requests: DataFrame, key: str, out: str, checkpoint: str) -> DataFrame:
+    return rates(_partials(requests, key, rate_sums(), out, checkpoint), key)
 
 
-def latency_quantile_stream(requests: DataFrame, q: float = 0.95) -> DataFrame:
-    sums = _windows(requests, "handler", bucket_counts(F.col("latency_ms")))
-    return sums.select("handler", "window_start", "window_end", "requests", bucket_quantile(q).alias("latency_ms"))
+def latency_quantile_stream(requests: DataFrame, out: str, checkpoint: str, q: float = 0.95,
+                            limits: list[float] = BUCKETS_MS) -> DataFrame:
+    sums = bucket_counts(F.col("latency_ms"), limits)
+    return latency_quantiles(_partials(requests, "handler", sums, out, checkpoint), q, limits)
