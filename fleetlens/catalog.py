@@ -134,7 +134,7 @@ def feature_queries() -> dict[str, Query]:
 
 SMALL_GRID = {"max_depth": [2, 3], "learning_rate": [0.1], "n_estimators": [5]}
 SMALL_PARAMS = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5, "random_state": 42}
-LR_ITERATIONS = 25
+LR_ITERATIONS = 1000
 
 _stored: dict[tuple[str, str, str], str] = {}
 
