@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import DAY, from_micros, micros, num
 from fleetlens.plans.cells import CELL, cell_of, event_parts, over_cells
 
+SALTS = 64
+
 
 def _services(maintenance: DataFrame) -> DataFrame:
     return maintenance.select(
@@ -113,8 +115,12 @@ def time_to_next_failure(maintenance: DataFrame, failures: DataFrame) -> DataFra
     gaps = services.distinct().join(following, ["machineid", "u"]).withColumn(
         "days", (F.col("next_u") - F.col("u")) / DAY
     )
-    means = gaps.groupBy("component").agg(num(F.avg("days"), 1).alias("avg_days_until_failure"))
-    return gaps.join(means, "component").select(
+    # Few components, and one may hold most services: means are copied to every
+    # salt, so that a component's gaps meet them in SALTS parts.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    means = gaps.groupBy("component").agg(num(F.avg("days"), 1).alias("avg_days_until_failure")).withColumn("salt", salts)
+    salted = gaps.withColumn("salt", F.pmod(F.hash("machineid", "u"), F.lit(SALTS)))
+    return salted.join(means, ["component", "salt"]).select(
         "machineid", "component", "maintenance_datetime",
         from_micros(F.col("next_u")).alias("next_failure_datetime"),
         num(F.col("days"), 1).alias("days_until_failure"), "avg_days_until_failure",
