@@ -136,11 +136,17 @@ SMALL_GRID = {"max_depth": [2, 3], "learning_rate": [0.1], "n_estimators": [5]}
 SMALL_PARAMS = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5, "random_state": 42}
 LR_ITERATIONS = 1000
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple, str] = {}
+
+
+def _version(f: Fleet) -> tuple:
+    """Session, folder and the files in it: new files are new data."""
+    files_read = sorted(f.parquet("events").inputFiles() + f.parquet("supplier").inputFiles())
+    return f.spark.sparkContext.applicationId, f.sf_dir, tuple(files_read)
 
 
 def _stored_path(f: Fleet, what: str, build: Callable[[str], object]) -> str:
-    key = (f.spark.sparkContext.applicationId, f.sf_dir, what)
+    key = (*_version(f), what)
     if key not in _stored:
         path = f"{scratch_root(f.spark)}/{what}"
         build(path)
@@ -153,11 +159,11 @@ def _features(f: Fleet) -> DataFrame:
     return files.read_features(f.spark, path)
 
 
-_splits: dict[tuple[str, str], training.Parts] = {}
+_splits: dict[tuple, training.Parts] = {}
 
 
 def _parts(f: Fleet) -> training.Parts:
-    key = (f.spark.sparkContext.applicationId, f.sf_dir)
+    key = _version(f)
     if key not in _splits:
         _splits[key] = training.split_parts(_features(f))
     return _splits[key]
@@ -447,7 +453,7 @@ def _drained(f: Fleet, stream: DataFrame) -> DataFrame:
 
 def _scoring_stream(f: Fleet) -> DataFrame:
     stored = _features(f)
-    path = _stored[(f.spark.sparkContext.applicationId, f.sf_dir, "features")]
+    path = _stored[(*_version(f), "features")]
     observations = f.spark.readStream.schema(stored.schema).parquet(path)
     return _drained(f, prediction_log_stream(_ensemble(f), observations))
 

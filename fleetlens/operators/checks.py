@@ -43,3 +43,29 @@ def prediction_rules(probability: str = "failure_probability", label: str = "pre
         "probability_in_range": F.col(probability).between(0, 1),
         "label_is_binary": F.col(label).isin(0, 1),
     }
+
+
+#: Columns that a base table may not hold nulls in (sensor readings may).
+REQUIRED = {
+    "machines": ["machineid", "model", "age"],
+    "telemetry": ["datetime", "machineid"],
+    "errors": ["datetime", "machineid", "errorid"],
+    "maintenance": ["datetime", "machineid", "comp"],
+    "failures": ["datetime", "machineid", "failure"],
+}
+
+
+def broken_constraints(tables: dict[str, DataFrame]) -> list[str]:
+    """What would stop a load of base tables: repeated machines, unknown machines, nulls."""
+    found = []
+    nulls = null_values({name: (df, REQUIRED[name]) for name, df in tables.items()})
+    found += [f"{r['null_rows']} nulls in {r['table_name']}.{r['column_name']}"
+              for r in nulls.where("null_rows > 0").collect()]
+    if "machines" in tables:
+        repeated = repeated_keys(tables["machines"], "machineid").count()
+        found += [f"{repeated} repeated machines"] if repeated else []
+        facts = {name: df for name, df in tables.items() if name != "machines"}
+        if facts:
+            orphans = missing_parents(facts, tables["machines"]).where("orphaned_rows > 0").collect()
+            found += [f"{r['orphaned_rows']} rows of {r['table_name']} without a machine" for r in orphans]
+    return sorted(found)

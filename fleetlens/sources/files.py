@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import key_hash, micros
+from fleetlens.operators.checks import broken_constraints
 from fleetlens.schemas import FEATURES, RAW_FILES, STAGING_COLUMNS
 
 
@@ -49,8 +50,15 @@ def replace_table(df: DataFrame, path: str, cluster_by: list[str] = ()) -> DataF
     return df.sparkSession.read.parquet(path)
 
 
-def load_base_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Store promoted tables; facts get a surrogate id."""
+def load_base_tables(tables: dict[str, DataFrame], folder: str, strict: bool = False) -> dict[str, DataFrame]:
+    """Store promoted tables; facts get a surrogate id.
+
+    ``strict`` refuses the whole load where a key, a reference or a NOT NULL
+    rule is broken, and says which.
+    """
+    broken = broken_constraints(tables) if strict else []
+    if broken:
+        raise ValueError("load refused: " + "; ".join(broken))
     stored = {}
     for name, df in tables.items():
         if name == "machines":

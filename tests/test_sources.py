@@ -26,6 +26,18 @@ def test_loading_twice_replaces(spark, tmp_path):
     assert stored["errors"].count() == 1 and "id" in stored["errors"].columns
 
 
+def test_strict_load_names_what_is_broken(spark, tmp_path):
+    machines = spark.createDataFrame([("1", "m", 3), ("1", "m", 4)], "machineid string, model string, age int")
+    errors = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01' AS datetime, '9' AS machineid, CAST(NULL AS STRING) AS errorid")
+    with pytest.raises(ValueError) as refused:
+        files.load_base_tables({"machines": machines, "errors": errors}, str(tmp_path), strict=True)
+    assert str(refused.value) == ("load refused: 1 nulls in errors.errorid; 1 repeated machines; "
+                                  "1 rows of errors without a machine")
+    assert not any(tmp_path.iterdir())
+    fine = {"machines": machines.limit(1), "errors": errors.selectExpr("datetime", "'1' AS machineid", "'e' AS errorid")}
+    assert set(files.load_base_tables(fine, str(tmp_path), strict=True)) == set(fine)
+
+
 def test_null_filter_runs_before_trimming(spark):
     staging = spark.createDataFrame([("2024-01-01", " ", "e1"), ("2024-01-01", None, "e2")],
                                     "datetime string, machineid string, errorid string")
