@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import chat, decontaminate, langid, lines, packing, pii, quality, simhash, substrings, tokenfiles
+from fleetlens.llm.oracle import oracle_sql  # noqa: F401  (the entry module reads both from here)
 from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,7 +106,3 @@ def queries() -> dict[str, Query]:
         "op9_token_files": op9_token_files,
         "op10_language_id": op10_language_id,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
