@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -137,6 +138,25 @@ def test_line_groups_are_complete(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_changed_lines_are_found(spark):
+    # Lines with 5, 10 and 20 % of their words changed; none of the operator's own constants.
+    rng, rows, kind = random.Random(11), [], {}
+    for n in (5, 8, 10, 20, 22, 24, 50, 200):
+        for part in (1 / n, 0.1, 0.2):
+            for _ in range(20):
+                line = [f"v{rng.randrange(5000)}" for _ in range(n)]
+                other = list(line)
+                for at in rng.sample(range(n), max(1, int(part * n + 1e-9))):
+                    other[at] = f"new{rng.randrange(10**6)}"
+                kind[len(rows) // 2] = part == 0.2
+                rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+    gone = {r["doc_id"] for r in lines.repeated_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(d % 2 for d in gone)
+    for at_limit, floor in ((False, 0.97), (True, 0.85)):
+        pairs = [k for k, v in kind.items() if v == at_limit]
+        assert sum(2 * k + 1 in gone for k in pairs) >= floor * len(pairs)
+
+
 def test_lines_keep_their_first_occurrence(spark):
     long = " ".join(f"w{i}" for i in range(2 * lines.PART_WORDS + 10))
     rows = [(2, "One two three four five six\nshort\nown words of this very line"), (1, "head\none two THREE four five six\nshort"),
