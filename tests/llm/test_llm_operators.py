@@ -157,6 +157,24 @@ def test_changed_lines_are_found(spark):
         assert sum(2 * k + 1 in gone for k in pairs) >= floor * len(pairs)
 
 
+def test_equal_lines_of_all_kinds_go(spark):
+    kinds = ["a1\tb2\tc3\td4\te5\tf6", "Read more here", "Home page", "この文章は何度も出てくる",
+             "สวัสดีชาวโลก", "n1\u00a0n2\u3000n3\u2003n4 n5", "one, two; three (four) five!"]
+    again = [*kinds[:-1], "One two three four five"]
+    docs = spark.createDataFrame([(1, "\n".join(kinds)), (2, "\n".join(["", *again, "---", "own"])), (3, "\n---\nown")], DOCS)
+    got = {r["doc_id"]: r["text"] for r in lines.dedupe_lines(docs).collect()}
+    assert got == {1: "\n".join(kinds), 2: "\n---\nown", 3: "\n---\nown"}
+
+
+def test_long_lines_of_any_kind_are_cut(spark):
+    for words, blank in (([f"w{i}" for i in range(9000)], "\t"), ([chr(0x4e00 + i * 7919 % 20000) for i in range(9000)], "")):
+        line = blank.join(words)
+        docs = spark.createDataFrame([(1, line), (2, line), (3, blank.join([*words[:4096], *(f"x{i} " for i in range(20))]))], DOCS)
+        got = {r["doc_id"]: r for r in lines.dedupe_lines(docs).collect()}
+        assert got[1]["text"] == line and got[2]["text"] == "" and got[2]["n_removed"] == 3
+        assert got[3]["n_removed"] == 1 and got[3]["text"].startswith("x0 ")
+
+
 def test_lines_keep_their_first_occurrence(spark):
     long = " ".join(f"w{i}" for i in range(2 * lines.PART_WORDS + 10))
     rows = [(2, "One two three four five six\nshort\nown words of this very line"), (1, "head\none two THREE four five six\nshort"),
