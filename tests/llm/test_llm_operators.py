@@ -175,6 +175,20 @@ def test_long_lines_of_any_kind_are_cut(spark):
         assert got[3]["n_removed"] == 1 and got[3]["text"].startswith("x0 ")
 
 
+def test_words_of_one_code_differ(spark):
+    # Words that share a signature's character, in lines with two of five (three of ten) words unlike.
+    named = spark.range(200_000).select(F.concat(F.lit("w"), "id").alias("w")).withColumn("code", F.expr("pmod(xxhash64(w), 1920)"))
+    same = [sorted(r["ws"]) for r in named.groupBy("code").agg(F.collect_list("w").alias("ws")).limit(12).collect()]
+    rows = []
+    for n, unlike in ((5, 2), (10, 3)):
+        line = [ws[0] for ws in same[:n]]
+        rows += [" ".join(line), " ".join([ws[1] for ws in same[:unlike]] + line[unlike:]), " ".join([same[0][1], *line[1:]])]
+    gone = lines.repeated_lines(spark.createDataFrame(list(enumerate(rows)), DOCS)).collect()
+    # The third line is 0.8 like both; alone, the first two are not alike.
+    alone = lines.repeated_lines(spark.createDataFrame([(i, rows[i]) for i in (0, 1, 3, 4)], DOCS)).collect()
+    assert {r["doc_id"] for r in gone} == {1, 2, 4, 5} and not alone
+
+
 def test_lines_keep_their_first_occurrence(spark):
     long = " ".join(f"w{i}" for i in range(2 * lines.PART_WORDS + 10))
     rows = [(2, "One two three four five six\nshort\nown words of this very line"), (1, "head\none two THREE four five six\nshort"),
