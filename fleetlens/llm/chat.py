@@ -99,6 +99,27 @@ def _history(turns: Column, start: Column, budget: int) -> Column:
     return F.aggregate(F.reverse(F.slice(turns, 1, start)), begin, step, lambda acc: acc["n"])
 
 
+def _carried(blocks: DataFrame, history: int) -> DataFrame:
+    """of, of_high, of_low, carried, n_before: the turns right before each block within the history budget, at most BLOCK, and how many there are in all.
+
+    A block's own last turns do, unless the whole block fits the budget: only
+    over runs of such small blocks more than one block's turns are collected.
+    """
+    fit = _history(F.col("turns"), F.size("turns"), history)
+    ends = blocks.select("conv_id", "high", "low", F.size("turns").alias("n"), fit.alias("fit"),
+                         F.slice("turns", F.size("turns") - fit + 1, fit).alias("tail"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("high").asc_nulls_first(), "low")
+    ends = ends.withColumn("run", F.sum((F.col("fit") < F.col("n")).cast("int")).over(order))
+    in_run = Window.partitionBy("conv_id", "run").orderBy(F.col("high").asc_nulls_first(), "low").rowsBetween(-BLOCK, 0)
+    ends = ends.withColumn("tails", F.flatten(F.collect_list("tail").over(in_run)))
+    kept = F.least(F.lit(BLOCK), _history(F.col("tails"), F.size("tails"), history))
+    ends = ends.withColumn("tail", F.slice("tails", F.size("tails") - kept + 1, kept)).drop("tails")
+    return ends.select(
+        F.col("conv_id").alias("of"), F.col("high").alias("of_high"), F.col("low").alias("of_low"),
+        F.coalesce(F.lag("tail").over(order), F.slice("tail", 1, 0)).alias("carried"),
+        (F.sum("n").over(order) - F.col("n")).alias("n_before"))
+
+
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """conv_id, high, low, window, text, n_turns, n_repeated, loss, tokens, over_budget.
 
@@ -107,8 +128,8 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     stood in an earlier one. ``loss`` lists (start, length) in code points of
     ``text``: the assistant texts new in this window, as written. ``over_budget``
     marks windows that whole turns leave no other way for: one turn with the
-    system turn is larger than the budget. History is not carried over the edge
-    of a block of BLOCK turn numbers.
+    system turn is larger than the budget. Over the edge of a block of BLOCK turn
+    numbers history goes on, with at most BLOCK turns.
 
     Null roles and texts count as empty, a null turn number comes first, a null
     conv_id is a conversation like any other; turns of one number follow in the
@@ -118,20 +139,18 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     blocks = _blocks(turns)
     first = _system(blocks)
     held = blocks.alias("b").join(first.alias("s"), F.expr("b.conv_id <=> s.conv_id"), "left").select("b.*", "s.system")
-    # The system turn itself opens the first block and is not repeated there.
-    lead = F.col("low") == 0
-    is_first = F.col("system").isNotNull() & lead & (F.get("turns", F.lit(0)) == F.col("system"))
+    held = held.join(_carried(blocks, history), F.expr("conv_id <=> of and high <=> of_high and low = of_low")).drop("of", "of_high", "of_low")
     held = held.withColumn("room", F.greatest(F.lit(1), F.lit(budget - history) - F.coalesce("system.tokens", F.lit(0))))
-    held = held.withColumn("is_first", is_first).withColumn("starts", _starts(F.col("turns"), F.col("room")))
+    held = held.withColumn("starts", _starts(F.col("turns"), F.col("room")))
     spans = held.select("*", F.posexplode("starts").alias("window", "start"))
     spans = spans.withColumn("end", F.coalesce(F.get("starts", F.col("window") + 1), F.size("turns")))
-    spans = spans.withColumn("before", _history(F.col("turns"), F.col("start"), history))
-    # In the first block the system turn may be among the history already.
-    reaches = F.col("is_first") & (F.col("before") >= F.col("start"))
-    leads = F.col("system").isNotNull() & ~(F.col("is_first") & (F.col("start") == 0)) & ~reaches
+    spans = spans.withColumn("turns", F.concat("carried", "turns")).withColumn("at", F.col("start") + F.size("carried"))
+    spans = spans.withColumn("before", _history(F.col("turns"), F.col("at"), history))
+    # The system turn may be among the history already, or open this window.
+    leads = F.col("system").isNotNull() & (F.col("before") < F.col("start") + F.col("n_before"))
     spans = spans.withColumn("led", leads).withColumn("kept", F.concat(
         F.when(F.col("led"), F.array("system")).otherwise(F.slice("turns", 1, 0)),
-        F.slice("turns", F.col("start") - F.col("before") + 1, F.col("before") + F.col("end") - F.col("start"))))
+        F.slice("turns", F.col("at") - F.col("before") + 1, F.col("before") + F.col("end") - F.col("start"))))
     spans = spans.withColumn("n_repeated", F.col("before") + F.col("led").cast("int"))
     parts = F.transform("kept", lambda t: F.struct(
         t["role"].alias("role"), F.concat(F.lit("### "), escaped(t["role"]), F.lit(": ")).alias("head"),

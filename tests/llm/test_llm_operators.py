@@ -213,6 +213,22 @@ def test_chat_windows(spark):
     assert sum(len(w["loss"]) for w in got) == 14
 
 
+def test_chat_history_goes_over_block_edges(spark):
+    # 600 turns number by number, and one turn in each block of numbers.
+    turns = [(c, i * step, ("user", "assistant")[i % 2] if i else "system", f"turn {i} of words")
+             for c, step, n in ((1, 1, 600), (2, 300, 12)) for i in range(n)]
+    got = chat.windows(spark.createDataFrame(turns, TURNS), budget=60, history=12).orderBy("conv_id", "high", "low", "window").collect()
+    done = {}
+    for w in got:
+        numbers = [int(t.split()[3]) for t in w["text"].split("</turn>\n")[:-1]]
+        first = done.get(w["conv_id"], 0)
+        want = list(range(max(0, first - 3), first))
+        want = want if want[:1] == [0] or not first else [0, *want]
+        assert numbers[:w["n_repeated"]] == want and numbers[w["n_repeated"]] == first
+        done[w["conv_id"]] = numbers[-1] + 1
+    assert done == {1: 600, 2: 12} and not any(w["over_budget"] for w in got)
+
+
 def test_binary_lengths_and_buckets(spark, tmp_path):
     assert packing.binary_lengths(612, 1024) == [512, 64, 32, 4] and packing.binary_lengths(2049, 1024) == [1024, 1024, 1]
     with pytest.raises(ValueError):
