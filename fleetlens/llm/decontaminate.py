@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from fleetlens.llm.shared import stored
 
 WINDOW = 13
+#: Words that a proximity match's words may lie off their places.
+SLACK = 1
 #: Terms of a window whose posting lists are intersected.
 RAREST = 3
 #: Distinct terms up to which the benchmark's vocabulary is broadcast (some
@@ -103,9 +105,24 @@ def intersect(index: DataFrame, rarest: DataFrame, slack: int = 0) -> DataFrame:
     return found
 
 
-def phrase_matches(docs: DataFrame, found: DataFrame) -> DataFrame:
+def _in_place(c: Column, slack: int) -> Column:
+    """Whether every term of a window lies in the text's words ``w`` at most ``slack`` off its place."""
+    def lies(term: Column, place: Column) -> Column:
+        near = F.lit(False)
+        for off in range(-slack, slack + 1):
+            # F.get gives null outside the text.
+            near = near | F.coalesce(F.get("w", c["start"] + place + off) == term, F.lit(False))
+        return near
+
+    return F.forall(F.transform(F.split(c["win"], " "), lies), lambda held: held)
+
+
+def phrase_matches(docs: DataFrame, found: DataFrame, slack: int = 0) -> DataFrame:
     """Every row of ``docs`` as row (its columns), n_words and ``matches`` (start, len, win) found word for word.
 
+    With ``slack`` a match's words may each lie that far off their places; its
+    start may then be before the text's.
+
     The candidates of a document are fewer than its words times the windows
     that share a rarest term; documents with equal ids are compared each.
     """
@@ -116,12 +133,15 @@ def phrase_matches(docs: DataFrame, found: DataFrame) -> DataFrame:
     sized = F.transform(F.coalesce("found", F.array().cast("array<struct<start:int,win:string>>")), lambda c: F.struct(
         c["start"].alias("start"), F.size(F.split(c["win"], " ")).alias("len"), c["win"].alias("win")))
     same = F.filter(sized, lambda c: F.array_join(F.slice("w", c["start"] + 1, c["len"]), " ") == c["win"])
+    if slack:
+        same = F.filter(sized, lambda c: _in_place(c, slack))
     return held.select("row", F.size("w").cast("long").alias("n_words"), same.alias("matches"))
 
 
 def hit_words(matches: Column) -> Column:
-    """Number of a document's words inside any match."""
-    spans = F.transform(matches, lambda m: F.sequence(m["start"], m["start"] + m["len"] - 1))
+    """Number of a document's words inside any match, of which ``n_words`` bounds the end."""
+    spans = F.transform(matches, lambda m: F.sequence(
+        F.greatest(F.lit(0), m["start"]), F.least(F.col("n_words").cast("int"), m["start"] + m["len"]) - 1))
     return F.size(F.array_distinct(F.flatten(spans))).cast("long")
 
 
@@ -149,10 +169,28 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataF
         _too_many().alias("contaminated"))
 
 
-def _matched(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def proximity_matches(docs: DataFrame, items: DataFrame, slack: int = SLACK, size: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_near, items (sorted ids as strings); one row per row of ``docs``.
+
+    Like ``contaminated``, for windows each of whose words lies at most ``slack``
+    words off its place: a passage with a word put in or moved. Exact matches are
+    among them. ``n_near`` counts the words where such windows lie.
+    """
+    windows = stored(benchmark_windows(items, size), "windows")
+    matched = stored(_matched(docs.select("doc_id", "text"), windows, slack).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", F.col("n_hit").alias("n_near"), F.col("matches.win").alias("wins")), "matched")
+    wins = matched.select("doc_id", F.explode("wins").alias("win")).distinct()
+    by_doc = wins.join(windows, "win").select(F.col("doc_id").alias("of"), F.col("item_id").cast("string")).groupBy("of").agg(
+        F.array_sort(F.collect_set("item_id")).alias("items"))
+    none = F.array().cast("array<string>")
+    return matched.join(by_doc, F.expr("doc_id <=> of"), "left").select(
+        "doc_id", "n_words", "n_near", F.when(F.size("wins") > 0, F.coalesce("items", none)).otherwise(none).alias("items"))
+
+
+def _matched(docs: DataFrame, windows: DataFrame, slack: int = 0) -> DataFrame:
     rarest = stored(rarest_terms(docs, windows), "rarest")
-    found = intersect(positional_index(docs, rarest), rarest)
-    return phrase_matches(docs, found).withColumn("n_hit", hit_words(F.col("matches")))
+    found = intersect(positional_index(docs, rarest), rarest, slack)
+    return phrase_matches(docs, found, slack).withColumn("n_hit", hit_words(F.col("matches")))
 
 
 def _too_many() -> Column:

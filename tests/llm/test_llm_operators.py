@@ -101,6 +101,21 @@ def test_proximity_matches(spark):
     assert {r["doc_id"] for r in decontaminate.intersect(index, far, slack=1).collect()} == {1, 2}
 
 
+def test_proximity_matches_are_checked_word_by_word(spark):
+    phrase = [f"term{i}" for i in range(40)]
+    every = [w for i, t in enumerate(phrase) for w in ([t, "extra"] if i % 12 == 5 else [t])]
+    loose = [t if i % 6 in (0, 3) else f"other{i}" for i, t in enumerate(phrase)]
+    rest = [f"own{i}" for i in range(20)]
+    docs = spark.createDataFrame([(1, " ".join(phrase + rest)), (2, " ".join(every + rest)), (3, " ".join(loose)), (4, None),
+                                  (5, " ".join(["extra", *phrase[1:14]]))], DOCS)
+    items = spark.createDataFrame([(7, " ".join(phrase))], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.proximity_matches(docs, items).collect()}
+    assert {d for d, r in got.items() if r["items"] == ["7"]} == {1, 2, 5} and got[3]["n_near"] == got[4]["n_near"] == 0
+    assert got[1]["n_near"] >= 40 and got[2]["n_near"] > 20
+    exact = {r["doc_id"]: r["n_hit"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert exact == {1: 40, 2: 0, 3: 0, 4: 0, 5: 13}
+
+
 def _edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
