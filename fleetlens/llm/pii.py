@@ -43,7 +43,6 @@ MIN_SUPPORT = 3
 MIN_PRECISION = 0.6
 #: ... and an instance so high a score to count as known.
 MIN_SCORE = 0.8
-ROUNDS = 3
 #: Patterns up to which they are broadcast for counting (some 50 bytes each).
 BROADCAST_PATTERNS = 200_000
 
@@ -152,8 +151,8 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 def learn_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     """pattern, kind, precision: contexts that lead to personal data with confidence, as a stored table.
 
-    Pattern and instance scores are renewed in turn, at most ROUNDS times or
-    until no instance becomes known. Patterns with fewer than MIN_SUPPORT
+    Pattern and instance scores are renewed in turn until no instance becomes
+    known. Patterns with fewer than MIN_SUPPORT
     different instances can never qualify and are not counted.
     """
     edges = stored(graph(found).groupBy("pattern", "instance", "kind").agg(F.count("*").alias("n")), "edges")
@@ -163,7 +162,7 @@ def learn_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     # An instance of a base kind is known from the start and stays so.
     known = stored(edges.where("kind is not null").select("instance", "kind").distinct(), "known")
     n_known = known.count()
-    for _ in range(ROUNDS):
+    while True:  # ends: known instances only grow, and are those of the edges
         patterns = stored(
             edges.drop("kind").join(known, "instance").groupBy("pattern", "kind").agg(
                 (F.sum("n") / F.first("total")).alias("precision"), F.count_distinct("instance").alias("support"))

@@ -88,6 +88,16 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted((r["doc_id"] or 0, r["label"]) for r in kept.collect()) == [(0, 4), (2, 2), (9, 3)]
 
 
+def test_contexts_are_followed_to_the_end(spark):
+    # Behind each context stand instances of the one before, and the next ones once.
+    texts = [f"see ctx0 user{i}@example.org end" for i in range(16)]
+    for k in range(1, 7):
+        for i in range(4):
+            texts += [f"see ctx{k - 1} token{k}x{i} end"] + [f"see ctx{k} token{k}x{i} end"] * 5
+    found = pii.find(spark.createDataFrame(list(enumerate(texts)), DOCS)).select(F.explode("spans").alias("s")).select("s.kind", "s.value").collect()
+    assert {r["value"] for r in found if r["kind"] == "found_email"} == {f"token{k}x{i}" for k in range(1, 7) for i in range(4)}
+
+
 def test_proximity_matches(spark):
     phrase = [f"term{i}" for i in range(13)]
     docs = spark.createDataFrame([(1, " ".join(phrase)), (2, " ".join([*phrase[:6], "extra", *phrase[6:]])), (3, "term1 term2")], DOCS)
