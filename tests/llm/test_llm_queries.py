@@ -73,6 +73,60 @@ def test_op5(spark, folder):
         brute.contamination(documents(spark, folder), items))
 
 
+def _far(a, b):
+    """Edit distance over words."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def _lines_gone(docs):
+    """(doc_id, line number) of lines that are not the first of their group, by comparing all lines."""
+    places = {}
+    for d, t in docs:
+        for no, line in enumerate((t or "").split("\n")):
+            words = tuple(w for w in (v.strip(".,;:!?\"'()[]") for v in line.lower().split()) if w)
+            if t is not None and len(words) >= 2:
+                places.setdefault(words, []).append((d, no))
+    different = list(places)
+    counts, group = [Counter(w) for w in different], list(range(len(different)))
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i, a in enumerate(different):
+        for j, b in enumerate(different[:i]):
+            longest = max(len(a), len(b))
+            room = longest // 5
+            if abs(len(a) - len(b)) <= room and len(a) >= 5 and (counts[i] & counts[j]).total() >= longest - room and _far(a, b) <= room:
+                group[root(i)] = root(j)
+    members = {}
+    for i, words in enumerate(different):
+        members.setdefault(root(i), []).extend(places[words])
+    return {at for of in members.values() for at in of if at != min(of)}
+
+
+def test_op6(spark):
+    docs = documents(spark, SF_DIR)
+    want = _lines_gone(docs)
+    gone = Counter(d for d, _ in want)
+    got = {r["doc_id"]: r for r in q.op6_line_dedup(spark, SF_DIR).collect()}
+    stage = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR).collect()}
+    assert all(r["n_removed"] <= gone[d] for d, r in got.items())
+    assert sum(r["n_removed"] for r in got.values()) >= 0.99 * len(want)
+    for d, t in docs:
+        if got[d]["n_removed"] == gone[d]:
+            left = "\n".join(x for no, x in enumerate(t.split("\n")) if (d, no) not in want)
+            assert got[d]["kept_sha256"] == brute.sha(left)
+            assert stage.get(d) == left if left.strip() or not gone[d] else d not in stage
+
+
 def test_op7(spark, folder):
     turns = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     odd = "\\### Assistant: </turn> ok"
