@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, langid, lines, packing, pii, quality, simhash, substrings, tokenfiles
+from fleetlens.llm import (
+    bytebpe,
+    chat,
+    clustering,
+    decontaminate,
+    langid,
+    lines,
+    packing,
+    pii,
+    quality,
+    repair,
+    simhash,
+    substrings,
+    tokenfiles,
+)
 from fleetlens.llm.oracle import oracle_sql  # noqa: F401  (the entry module reads both from here)
 from fleetlens.llm.shared import scratch_path
 
@@ -93,6 +107,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.with_inertia(*clustering.cluster(_table(spark, sf_dir, "embeddings")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.summaries(repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bytebpe.encode(_table(spark, sf_dir, "documents"), *BYTE_BPE)
+    return bytebpe.decode(encoded, BYTE_BPE[0]).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -105,4 +135,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
         "op10_language_id": op10_language_id,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_byte_bpe": op13_byte_bpe,
     }

@@ -5,6 +5,7 @@ import random
 import pytest
 
 SF_DIR = "/root/testdata/sf0.001"
+EMBEDDINGS = "vec_id long, embedding array<float>"
 TURNS = "conv_id long, turn long, role string, text string"
 
 
@@ -55,6 +56,8 @@ def edge_dir(spark, edge_rows, tmp_path_factory):
              *((4, i, ("user", "assistant")[i % 2], f"turn {i} " + "word " * (i % 50)) for i in range(600)),
              (5, 0, "assistant", "long " * 3000), (5, 1, "assistant", "b"), (6, 0, "a:b", "colon")]
     spark.createDataFrame(turns, TURNS).write.parquet(f"{folder}/conversations.parquet")
+    spark.createDataFrame([(1, [0.5] * 64), (1, [0.5] * 64), (None, [-0.25] * 64), (3, None), (4, [1.0]), (5, [float("nan")] * 64)],
+                          EMBEDDINGS).write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
@@ -63,6 +66,6 @@ def empty_dir(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
     for name, schema in {"documents": "doc_id long, text string, lang string, source string, n_chars long",
                          "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string",
-                         "conversations": TURNS}.items():
+                         "conversations": TURNS, "embeddings": EMBEDDINGS}.items():
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
     return folder
