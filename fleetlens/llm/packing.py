@@ -33,11 +33,11 @@ def binary_lengths(tokens: int, size: int) -> list[int]:
     return [size] * (tokens // size) + digits
 
 
-def pack(docs: DataFrame, ranks: str, pattern: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """One row per sequence: doc_id, start, length, doc_tokens, ids, sequence_id, offset, bucket.
 
-    ``ranks`` and ``pattern`` name the byte-level vocabulary. ``docs`` needs doc_id and text; other columns are ignored, whatever their
-    names. ``ids`` holds little-endian unsigned 32-bit token ids. A null or
+    ``vocabulary`` is the path of a byte-level ``tokenizers`` file. ``docs``
+    needs doc_id and text; other columns are ignored, whatever their names. ``ids`` holds little-endian unsigned 32-bit token ids. A null or
     empty text is the end token alone: one piece of length 1. Repeated rows are
     packed each. An empty table gives no rows. ``size`` must be a power of two.
 
@@ -49,7 +49,7 @@ def pack(docs: DataFrame, ranks: str, pattern: str, size: int = SEQUENCE, end_id
         raise ValueError("the sequence length must be a power of two")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(ByteTokens, ranks, pattern).encode, np.array([end_id], dtype="<u4").tobytes()
+        encode, end = encoder(ByteTokens, vocabulary).encode, np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches):
             out = [[], [], [], [], []]
             encoded = encode([t or "" for t in batch.column("text").to_pylist()])

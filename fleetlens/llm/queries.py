@@ -28,8 +28,9 @@ from fleetlens.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: The same vocabulary and ids as byte_bpe_50k.json.
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary and ids as ranks, and the pattern that parts words.
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -89,7 +90,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(_table(spark, sf_dir, "documents"), *BYTE_BPE)
+    packed = packing.pack(_table(spark, sf_dir, "documents"), BYTE_BPE)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 
@@ -116,8 +117,8 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bytebpe.encode(_table(spark, sf_dir, "documents"), *BYTE_BPE)
-    return bytebpe.decode(encoded, BYTE_BPE[0]).select(
+    encoded = bytebpe.encode(_table(spark, sf_dir, "documents"), *BYTE_RANKS)
+    return bytebpe.decode(encoded, BYTE_RANKS[0]).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))

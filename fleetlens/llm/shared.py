@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import os
 import re
 import uuid
@@ -56,30 +55,84 @@ CACHE_PIECES = 700_000
 _encoders: dict[tuple, object] = {}
 
 
-class ByteTokens:
-    """Byte-level BPE from a rank file; the same ids as the vocabulary's ``tokenizers`` file."""
+#: Longer pieces are encoded each time: what is remembered stays small.
+CACHE_CHARS = 256
 
-    def __init__(self, ranks_path: str, pattern: str):
-        import tiktoken
 
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        # No special tokens: their strings inside a text are ordinary text.
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+class CachedPieces:
+    """Encodes texts piece by piece, every distinct piece of a worker once.
+
+    Encoding the same word again and again would be most of the work.
+    """
+
+    def __init__(self):
+        self.known: dict[str, bytes] = {}
+        self.lately: set[str] = set()
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces whose ids, put together, are the text's."""
+        raise NotImplementedError
+
+    def _fresh(self, pieces: list[str]) -> list[bytes]:
+        raise NotImplementedError
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids as little-endian unsigned 32-bit bytes."""
-        ids = self.encoding.encode_ordinary
-        return [array("I", ids(t)).tobytes() for t in texts]
+        cut = [self._cut(t) for t in texts]
+        used = set().union(*cut)
+        known = self.known
+        new = [p for p in used if p not in known]
+        if len(known) + len(new) > CACHE_PIECES:
+            keep = self.lately | used
+            known = self.known = {p: ids for p, ids in known.items() if p in keep}
+            self.lately = set()
+        if len(self.lately) < CACHE_PIECES // 2:
+            self.lately |= used
+        known.update(zip(new, self._fresh(new)))
+        ids = known.__getitem__
+        out = [b"".join(map(ids, pieces)) for pieces in cut]
+        for p in new:
+            if len(p) > CACHE_CHARS:
+                del known[p]
+                self.lately.discard(p)
+        return out
+
+
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings are ordinary text
+    return tokenizer
+
+
+class ByteTokens(CachedPieces):
+    """Byte-level BPE by the ``tokenizers`` library.
 
+    Within a match of its pattern, white space never follows what is not white
+    space, and no match looks back: texts are cut before such white space.
+    """
+
+    _space = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    pieces = re.compile(f"[{_space}]*[^{_space}]+|[{_space}]+").findall
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.tokenizer = _tokenizer(path)
 
-class WordTokens:
+    def _cut(self, text: str) -> list[str]:
+        return self.pieces(text)
+
+    def _fresh(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+
+class WordTokens(CachedPieces):
     """BPE over lower-cased words, white space dropped, by the ``tokenizers`` library.
 
-    Encoding the same word again and again would be most of the work. White
-    space separates words for good, so texts are cut at blanks and every
-    distinct piece is encoded once. A piece of letters alone needs no
-    normaliser or splitter and goes to the library's model at once.
+    White space separates words for good, so texts are cut at blanks. A piece
+    of letters alone needs no normaliser or splitter and goes to the library's
+    model at once.
     """
 
     #: Full stops or commas beside other marks, which the tokenizer keeps together.
@@ -87,17 +140,14 @@ class WordTokens:
     plain = frozenset(" \n.,")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        super().__init__()
+        self.tokenizer = _tokenizer(path)
         self.model, self.size = self.tokenizer.model, self.tokenizer.get_vocab_size()
         # How the library writes the UTF-8 bytes of Latin letters.
         by_library = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.written = {c: by_library(chr(c))[0][0] for c in range(256) if chr(c).isalpha()}
-        self.known: dict[str, bytes] = {}
-        self.lately: set[str] = set()
 
     def _cut(self, text: str) -> list[str]:
         # Lower case and marks set apart, where that is sure to change no id,
@@ -122,22 +172,6 @@ class WordTokens:
             out[p] = array("I", e.ids).tobytes()
         return [out[p] for p in pieces]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Token ids as little-endian unsigned 32-bit bytes."""
-        cut = [self._cut(t) for t in texts]
-        used = set().union(*cut)
-        known = self.known
-        new = [p for p in used if p not in known]
-        if len(known) + len(new) > CACHE_PIECES:
-            keep = self.lately | used
-            known = self.known = {p: ids for p, ids in known.items() if p in keep}
-            self.lately = set()
-        if len(self.lately) < CACHE_PIECES // 2:
-            self.lately |= used
-        known.update(zip(new, self._fresh(new)))
-        ids = known.__getitem__
-        return [b"".join(map(ids, pieces)) for pieces in cut]
-
 
 def _latin(text: str) -> bool:
     try:

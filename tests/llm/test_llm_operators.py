@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import random
 
+import brute
+import corpus_pipeline
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -257,12 +259,31 @@ def test_chat_history_goes_over_block_edges(spark):
 def test_binary_lengths_and_buckets(spark, tmp_path):
     assert packing.binary_lengths(612, 1024) == [512, 64, 32, 4] and packing.binary_lengths(2049, 1024) == [1024, 1024, 1]
     with pytest.raises(ValueError):
-        packing.pack(spark.createDataFrame([], DOCS), "", "", size=1000)
-    packed = packing.pack(spark.read.parquet(f"{SF_DIR}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+        packing.pack(spark.createDataFrame([], DOCS), "", size=1000)
+    packed = packing.pack(spark.read.parquet(f"{SF_DIR}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
     packing.write_buckets(packed, f"{tmp_path}/buckets")
     assert spark.read.parquet(f"{tmp_path}/buckets").where("octet_length(ids) <> 4 * bucket").isEmpty()
 
 
+def test_packing_of_long_runs(spark):
+    """Runs that exhaust a pattern's stack or a slow merge; the pipeline's stage packs them as well."""
+    texts = [" " * 2_000_000, "a\n" + "\n" * 2_000_000 + "b", "x" * 2_000_000, " \t" * 1_000_000 + "y", "once more"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS + ", lang string, source string, n_chars long")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    counts = {r["doc_id"]: r["n"] for r in packed.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert counts == {i: len(ids) for i, ids in enumerate(brute.token_ids("byte_bpe_50k.json", texts, 0))}
+    assert corpus_pipeline.pack(spark, docs, SF_DIR).agg(F.sum("length")).first()[0] == sum(counts.values())
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    rng = random.Random(8)
+    own = shared.ByteTokens(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["".join(rng.choice(["a", " ", "\n", "'s", "1", ".", "é", "\u3000", "\x1c", "\u0301", "\t", "\xa0", "\u200b", "\x85", "<|endoftext|>"])
+                     for _ in range(40)) for _ in range(400)]
+    for text, ids in zip(texts, brute.token_ids("byte_bpe_50k.json", texts, 0)):
+        assert own.encode([text])[0] == ids[:-1].tobytes()
+
+
 def test_token_files_are_mapped(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     manifest = tokenfiles.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), f"{tmp_path}/tokens", length=128)
