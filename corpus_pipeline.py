@@ -42,7 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of the documents left."""
-    return packing.pack(docs, *BYTE_BPE)
+    return packing.pack(docs, BYTE_BPE)
 
 
 STAGES = [
