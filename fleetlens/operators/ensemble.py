@@ -54,15 +54,10 @@ class Ensemble:
         scored = stored(self.score(test).select("label", "score"))
         return report(predict_at(scored, self.threshold)).withColumn("threshold", F.lit(self.threshold))
 
-    def rationale(self) -> str:
-        return (f"Lowest {COST_FN} * missed failures + {COST_FP} * false alarms on validation rows "
-                f"among 200 thresholds from 0.01 to 0.99: {self.threshold:.3f}.")
-
     def save(self, spark: SparkSession, path: str) -> None:
         self.linear.save(spark, f"{path}/linear")
         self.boosted.save(spark, f"{path}/boosted")
-        state = {"meta": self.meta, "optimal_threshold": self.threshold, "cost_fn": COST_FN,
-                 "cost_fp": COST_FP, "rationale": self.rationale()}
+        state = {"meta": self.meta, "optimal_threshold": self.threshold, "cost_fn": COST_FN, "cost_fp": COST_FP}
         write_text(spark, json.dumps(state), f"{path}/state")
 
     @staticmethod

@@ -82,6 +82,24 @@ def curve_areas(scored: DataFrame, score: str = "score") -> DataFrame:
     )
 
 
+def curve_areas_by(scored: DataFrame, group: str, score: str = "score") -> DataFrame:
+    """The same areas for every value of ``group``, each ordered by one task.
+
+    For groups of bounded size, such as one set of validation rows scored again
+    and again.
+    """
+    per_score = scored.groupBy(group, F.col(score).alias("s")).agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(group).orderBy(F.desc("s"))
+    whole = F.nullif(F.sum("pos").over(Window.partitionBy(group)), F.lit(0))
+    running = per_score.select(group, "pos", "n", F.sum("pos").over(order).alias("cum_pos"), F.sum("n").over(order).alias("cum_n"),
+                               whole.alias("all_pos"))
+    precision, before = F.col("cum_pos") / F.col("cum_n"), F.nullif(F.col("cum_n") - F.col("n"), F.lit(0))
+    came_from = F.coalesce((F.col("cum_pos") - F.col("pos")) / before, F.lit(1.0))
+    step = F.col("pos") / F.col("all_pos")
+    return running.groupBy(group).agg(F.sum(step * (precision + came_from) / 2).alias("pr_auc"),
+                                      F.sum(step * precision).alias("average_precision"))
+
+
 def report(predicted: DataFrame, score: str = "score") -> DataFrame:
     """All metrics as one row."""
     areas = curve_areas(predicted, score).withColumn("one", F.lit(1))

@@ -19,7 +19,8 @@ from fleetlens.operators import preprocess
 from fleetlens.operators.preprocess import Preparation
 from fleetlens.operators.split import balanced_weights, positive_weight
 from fleetlens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from fleetlens.session import stored
+from fleetlens.session import cut_lineage, stored
+from fleetlens.sources.files import observation_hash
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
@@ -92,25 +93,55 @@ def fit_logistic(rows: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORI
     return FittedModel("logistic", prep, logistic_on(vectors, n, max_iter, "w"), {"max_iter": max_iter})
 
 
-def fit_boosted(rows: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *,
-                max_depth: int = 6, learning_rate: float = 0.05, n_estimators: int = 100,
-                scale_pos_weight: float | None = None, seed: int = 42,
-                stop_on: DataFrame | None = None) -> FittedModel:
-    """Weighted boosted trees on unscaled features.
+#: Boosted trees are fitted on so many rows at most, chosen by a hash of the row's key. More rows
+#: of a fleet repeat what these show, while every tree reads all rows as often as it is deep.
+MAX_TRAINING_ROWS = 200_000
+#: Rows of prepared vectors in a partition: a level of a tree is a job, and small tasks cost more than they save.
+ROWS_A_PARTITION = 50_000
+
+
+@dataclass
+class Prepared:
+    """Vectors to fit boosted trees on, stored once for any number of fits."""
+
+    preparation: Preparation
+    vectors: DataFrame  # label, x
+    scale_pos_weight: float
 
-    With ``stop_on`` (validation rows) training ends when their loss stops
-    falling; the preparation is learned from ``rows`` alone.
+
+def prepare_boosted(rows: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *,
+                    scale_pos_weight: float | None = None, max_training_rows: int = MAX_TRAINING_ROWS,
+                    preparation: Preparation | None = None) -> Prepared:
+    """Unscaled vectors of ``rows``, of about ``max_training_rows`` of them where there are more.
+
+    ``preparation`` is learned from all of ``rows`` unless one is given.
     """
     if scale_pos_weight is None:
         scale_pos_weight = positive_weight(rows).first()["scale_pos_weight"]
-    prep = preprocess.learn(rows, numeric, categorical, scale=False)
+    prep = preparation or preprocess.learn(rows, numeric, categorical, scale=False)
+    n = rows.count()
+    if n > max_training_rows:
+        place = F.pmod(observation_hash(), F.lit(1 << 40)) / float(1 << 40)
+        rows, n = rows.where(place < max_training_rows / n), max_training_rows
+    vectors = rows.select("label", prep.vector().alias("x")).coalesce(max(1, -(-n // ROWS_A_PARTITION)))
+    return Prepared(prep, stored(vectors), scale_pos_weight)
+
+
+def fit_prepared(prepared: Prepared, *, max_depth: int = 6, learning_rate: float = 0.05, n_estimators: int = 100,
+                 seed: int = 42) -> FittedModel:
+    """Boosted trees with logistic loss; positives weigh ``scale_pos_weight``."""
     learner = GBTClassifier(featuresCol="x", labelCol="label", weightCol="w", maxDepth=max_depth,
                             stepSize=learning_rate, maxIter=n_estimators, seed=seed)
-    data = rows.withColumn("held", F.lit(False))
-    if stop_on is not None:
-        data = data.unionByName(stop_on.withColumn("held", F.lit(True)))
-        learner = learner.setValidationIndicatorCol("held").setParams(validationTol=0.001)
-    vectors = data.select("label", "held", _weight({1: scale_pos_weight}).alias("w"), prep.vector().alias("x"))
+    cut_lineage(prepared.vectors.sparkSession)
+    weighted = prepared.vectors.withColumn("w", _weight({1: prepared.scale_pos_weight}))
     params = {"max_depth": max_depth, "learning_rate": learning_rate, "n_estimators": n_estimators,
-              "scale_pos_weight": scale_pos_weight, "random_state": seed}
-    return FittedModel("boosted", prep, learner.fit(stored(vectors)), params)
+              "scale_pos_weight": prepared.scale_pos_weight, "seed": seed}
+    return FittedModel("boosted", prepared.preparation, learner.fit(weighted), params)
+
+
+def fit_boosted(rows: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *,
+                scale_pos_weight: float | None = None, max_training_rows: int = MAX_TRAINING_ROWS, **params) -> FittedModel:
+    """Prepare ``rows`` and fit once."""
+    prepared = prepare_boosted(rows, numeric, categorical, scale_pos_weight=scale_pos_weight,
+                               max_training_rows=max_training_rows)
+    return fit_prepared(prepared, **params)

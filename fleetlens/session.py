@@ -46,6 +46,12 @@ def scratch_root(spark: SparkSession) -> str:
     return local
 
 
+def cut_lineage(spark: SparkSession) -> None:
+    """Let iterative fits checkpoint: without a folder their lineage grows with every iteration."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write a frame to the shared scratch folder and continue from there.
 

@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlens.operators import explain, preprocess, scoring, training
+from fleetlens.operators import explain, preprocess, scoring, training, trees
 from fleetlens.operators.ensemble import Ensemble, train_ensemble
-from fleetlens.operators.models import FittedModel, fit_boosted, fit_logistic
+from fleetlens.operators.evaluate import curve_areas, curve_areas_by
+from fleetlens.operators.models import FittedModel, fit_boosted, fit_logistic, fit_prepared, prepare_boosted
 from fleetlens.operators.split import balanced_weights, positive_weight, stratified_folds, stratified_split
 from fleetlens.schemas import NUMERIC_FEATURES
 
@@ -145,8 +146,9 @@ def test_save_and_load_give_the_same_scores(spark, ensemble, saved, feature_fram
 
 
 def test_grid_search_returns_the_best_point(parts):
-    best, tried = training.search(parts.train, parts.val, {"max_depth": [1, 2], "learning_rate": [0.3], "n_estimators": [3]})
+    best, tried, models = training.search(parts.train, parts.val, {"max_depth": [1, 2], "learning_rate": [0.3], "n_estimators": [3]})
     rows = tried.collect()
+    assert set(models) == {(1, 0.3, 3), (2, 0.3, 3)}
     assert len(rows) == 2 and best["max_depth"] == max(rows, key=lambda r: r["pr_auc"])["max_depth"]
 
 
@@ -155,7 +157,7 @@ def test_cross_validation_and_ablation(parts):
     assert scores.count() == 2
     summary = training.cross_validation_summary(scores).first()
     assert 0 < summary["mean_pr_auc"] <= 1 and summary["std_pr_auc"] >= 0
-    params = {"max_depth": 2, "learning_rate": 0.3, "n_estimators": 3, "scale_pos_weight": 1.0, "random_state": 1}
+    params = {"max_depth": 2, "learning_rate": 0.3, "n_estimators": 3, "scale_pos_weight": 1.0, "seed": 1}
     rows = {r["feature_set"]: r for r in training.ablation(parts, params).collect()}
     drop = rows["full_feature_set"]["pr_auc"] - rows["failure_history_removed"]["pr_auc"]
     assert rows["full_feature_set"]["pr_auc_drop"] == pytest.approx(drop, abs=1e-4)
@@ -216,22 +218,90 @@ def test_top_impacts_are_ordered(ensemble, saved, feature_frame):
             assert abs(a["impact"]) >= abs(b["impact"])
 
 
-def test_leaf_table_equals_shapley_values_from_the_definition():
-    tests = {4: (0.3, 0, 1), 7: (0.6, 0, 1), 9: (0.25, 0, 1)}
-    leaf = explain._leaf(2.0, tests)
-    shares, m = [0.3, 0.6, 0.25], 3
-    for code in range(8):
-        passed = [(code >> (m - 1 - i)) & 1 for i in range(m)]
-
-        def value(present):
-            return 2.0 * np.prod([passed[i] if i in present else shares[i] for i in range(m)])
-
-        for j in range(m):
-            others = [i for i in range(m) if i != j]
-            want = sum(
-                factorial(len(s)) * factorial(m - len(s) - 1) / factorial(m) * (value({*s, j}) - value(set(s)))
-                for size in range(m) for s in combinations(others, size))
-            assert leaf["table"][code, j] == pytest.approx(want)
+def _shapley_by_subsets(value, shares, passed):
+    m = len(shares)
+
+    def known(present):
+        return value * np.prod([passed[i] if i in present else shares[i] for i in range(m)])
+
+    def of(j):
+        others = [i for i in range(m) if i != j]
+        return sum(factorial(len(s)) * factorial(m - len(s) - 1) / factorial(m) * (known({*s, j}) - known(set(s)))
+                   for size in range(m) for s in combinations(others, size))
+
+    return [of(j) for j in range(m)]
+
+
+@pytest.mark.parametrize("shares", [[0.3], [0.3, 0.6], [0.3, 0.6, 0.25], [0.9, 0.1, 0.5, 0.7, 0.2, 0.4, 0.35]])
+def test_leaf_values_equal_shapley_values_from_the_definition(shares):
+    m = len(shares)
+    leaf = trees.Leaf(2.0, np.arange(m), np.array(shares), np.zeros(m), np.ones(m))
+    patterns = np.array([[code >> i & 1 for i in range(m)] for code in range(1 << m)], dtype=float)
+    got = trees.shapley(leaf, patterns)
+    for pattern, values in zip(patterns, got):
+        assert values == pytest.approx(_shapley_by_subsets(2.0, shares, pattern))
+
+
+def test_deep_attributions_add_up():
+    """300 random trees of depth 7: attributions sum to the margin less what is expected of an unknown row."""
+    rng, nodes = np.random.default_rng(1), {k: [] for k in ("feature", "threshold", "left", "right", "value", "weight")}
+    roots = []
+
+    def grow(depth, weight):
+        at = len(nodes["feature"])
+        leaf = depth == 0
+        for k, v in zip(nodes, (-1 if leaf else rng.integers(20), rng.random(), -1, -1, rng.normal() if leaf else 0.0, weight)):
+            nodes[k].append(v)
+        if not leaf:
+            share = rng.uniform(0.1, 0.9)
+            nodes["left"][at], nodes["right"][at] = grow(depth - 1, weight * share), grow(depth - 1, weight * (1 - share))
+        return at
+
+    for _ in range(300):
+        roots.append(grow(7, 1000.0))
+    forest = trees.Trees(np.array(roots), *(np.array(v) for v in nodes.values()))
+    x = rng.random((40, 20))
+    stages = forest.stages(x)
+    assert stages.shape == (40, 300)
+    total = trees.attributions(list(forest.leaves()), x).sum(axis=1)
+    assert np.allclose(total, stages[:, -1] - forest.expected())
+
+
+def test_every_stage_has_the_area_of_its_own_model(parts):
+    """The first k stages score like a model of k trees, and their areas are those of the exact curve."""
+    prepared = prepare_boosted(parts.train, scale_pos_weight=3.0)
+    held = prepare_boosted(parts.val, preparation=prepared.preparation, scale_pos_weight=3.0)
+    whole = fit_prepared(prepared, max_depth=3, learning_rate=0.3, n_estimators=6)
+    staged = training.staged_scores(whole, held.vectors)
+    areas = {r["trees"]: (r["pr_auc"], r["average_precision"]) for r in curve_areas_by(staged, "trees").collect()}
+    assert set(areas) == set(range(1, 7))
+    for k in (1, 4, 6):
+        alone = fit_prepared(prepared, max_depth=3, learning_rate=0.3, n_estimators=k)
+        exact = curve_areas(alone.score(parts.val)).first()
+        assert areas[k] == pytest.approx((exact["pr_auc"], exact["average_precision"]))
+
+
+def test_boosting_stops_after_rounds_without_a_gain():
+    assert training.best_stage([0.1, 0.3, 0.2, 0.25, 0.9], patience=2) == (2, 0.3)
+    assert training.best_stage([0.1, 0.3, 0.2, 0.25, 0.9], patience=3) == (5, 0.9)
+    assert training.best_stage([None, 0.2, 0.2], patience=10) == (2, 0.2)
+    assert training.best_stage([None, None], patience=1)[0] == 0
+
+
+def test_training_rows_are_bounded(feature_frame):
+    few = prepare_boosted(feature_frame, max_training_rows=200)
+    n = few.vectors.count()
+    assert 120 < n < 280 and few.vectors.rdd.getNumPartitions() == 1
+    assert few.scale_pos_weight == prepare_boosted(feature_frame).scale_pos_weight
+
+
+def test_fits_side_by_side_equal_fits_one_by_one(spark, parts):
+    grid = {"max_depth": [1, 3], "learning_rate": [0.1, 0.3], "n_estimators": [2, 5]}
+    _, tried, _ = training.search(parts.train, parts.val, grid)
+    for row in tried.collect():
+        single = {k: [row[k]] for k in grid}
+        assert training.search(parts.train, parts.val, single)[1].first() == row
+    assert training.concurrently(spark, lambda i: i * 2, [3, 1, 2]) == [6, 2, 4]
 
 
 def test_model_state_survives_alone(spark, saved):
