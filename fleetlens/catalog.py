@@ -22,12 +22,14 @@ from fleetlens.operators import quality as dq
 from fleetlens.operators import sensors as te
 from fleetlens.operators import service as ma
 from fleetlens.operators.ensemble import Ensemble, train_ensemble
-from fleetlens.operators.models import fit_boosted, fit_logistic
+from fleetlens.operators.models import FittedModel, fit_boosted, fit_logistic
+from fleetlens.operators.promote import KINDS
 from fleetlens.operators.preprocess import apply_columns, learn
 from fleetlens.schemas import STAGING_COLUMNS
 from fleetlens.session import scratch_root
 from fleetlens.sources import files
 from fleetlens.sources.fixtures import Fleet, fleet
+from fleetlens.sources.log import Gate, append_batch, read_log, violations
 from fleetlens.streaming.run import drain
 from fleetlens.streaming.scoring import prediction_log_stream
 from fleetlens.streaming.traffic import latency_quantile_stream, request_rate_stream
@@ -132,8 +134,6 @@ def feature_queries() -> dict[str, Query]:
 # Queries below train or write. They share one stored feature table and one
 # trained ensemble per folder, as separate jobs of a pipeline would.
 
-SMALL_GRID = {"max_depth": [2, 3], "learning_rate": [0.1], "n_estimators": [5]}
-SMALL_PARAMS = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5, "random_state": 42}
 LR_ITERATIONS = 1000
 
 _stored: dict[tuple, str] = {}
@@ -169,13 +169,29 @@ def _parts(f: Fleet) -> training.Parts:
     return _splits[key]
 
 
+_searches: dict[tuple, tuple[dict, DataFrame, dict]] = {}
+
+
+def _search(f: Fleet) -> tuple[dict, DataFrame, dict]:
+    """Best parameters, a row per point of the training grid, and the models fitted on train rows."""
+    key = _version(f)
+    if key not in _searches:
+        parts = _parts(f)
+        weight = split.positive_weight(parts.table).first()["scale_pos_weight"]
+        _searches[key] = training.search(parts.train, parts.val, training.TRAINING_GRID, weight)
+    return _searches[key]
+
+
+def _boosted(f: Fleet) -> FittedModel:
+    """The best point fitted again on train and validation rows."""
+    path = _stored_path(f, "boosted", lambda p: fit_boosted(_parts(f).fit_rows, **_search(f)[0]).save(f.spark, p))
+    return FittedModel.load(f.spark, path)
+
+
 def _ensemble_path(f: Fleet) -> str:
     def train(path):
-        parts = _parts(f)
-        params = {k: v for k, v in SMALL_PARAMS.items() if k != "random_state"}
-        linear = fit_logistic(parts.fit_rows, max_iter=LR_ITERATIONS)
-        boosted = fit_boosted(parts.fit_rows, **params)
-        train_ensemble(linear, boosted, parts.val).save(f.spark, path)
+        linear = fit_logistic(_parts(f).fit_rows, max_iter=LR_ITERATIONS)
+        train_ensemble(linear, _boosted(f), _parts(f).val).save(f.spark, path)
 
     return _stored_path(f, "ensemble", train)
 
@@ -188,7 +204,7 @@ def _scratch(f: Fleet) -> str:
     return scratch_root(f.spark)
 
 
-def _raw_folder(f: Fleet, leave_out: tuple[str, ...] = ()) -> str:
+def _raw_folder(f: Fleet, leave_out: tuple[str, ...] = (), kind: str = "staging") -> str:
     """CSV files as the loader expects them."""
     folder = _scratch(f)
     names = {"machines": "PdM_machines.csv", "telemetry": "PdM_telemetry.csv", "errors": "PdM_errors.csv",
@@ -196,7 +212,7 @@ def _raw_folder(f: Fleet, leave_out: tuple[str, ...] = ()) -> str:
     for table, name in names.items():
         if table not in leave_out:
             upper = [c.upper() for c in STAGING_COLUMNS[table]]
-            files.write_csv_text(f.table(f"staging_{table}").toDF(*upper), f"{folder}/{name}")
+            files.write_csv_text(f.table(f"{kind}_{table}").toDF(*upper), f"{folder}/{name}")
     return folder
 
 
@@ -217,15 +233,88 @@ def _base_load(f: Fleet, repeats: int) -> DataFrame:
     return dq.row_counts(stored)
 
 
+_reports: dict[tuple, DataFrame] = {}
+
+
+def _quarantine(f: Fleet) -> tuple[str, DataFrame]:
+    """Folder and report of a load with quarantine."""
+    def load(path):
+        staging, _ = files.read_staging(f.spark, _raw_folder(f, kind="spoilt"), with_source=True)
+        _reports[_version(f)] = files.load_with_quarantine(staging, path)
+
+    return _stored_path(f, "quarantine", load), _reports[_version(f)]
+
+
+def _rejected(f: Fleet, table: str) -> DataFrame:
+    rows = files.rejected_rows(f.spark, _quarantine(f)[0], table)
+    return rows.withColumn("source_file", F.regexp_extract("source_file", r"(PdM_\w+\.csv)/", 1))
+
+
+def _accepted(f: Fleet, table: str) -> DataFrame:
+    return files.accepted_rows(f.spark, _quarantine(f)[0], table)
+
+
+def quarantine_queries() -> dict[str, Query]:
+    numbered = dict(zip(KINDS, range(1, 6)))
+    return {
+        "p0_quarantine_report": _on(lambda f: _quarantine(f)[1]),
+        **{f"p{i}_{t}_accepted": _on(lambda f, t=t: _accepted(f, t)) for t, i in numbered.items()},
+        **{f"p{i}_{t}_rejected": _on(lambda f, t=t: _rejected(f, t)) for t, i in numbered.items()},
+    }
+
+
+def _log_batch(f: Fleet, when: str) -> DataFrame:
+    return f.table("log_rows").where(when)
+
+
+def _log_gate(f: Fleet) -> Gate:
+    columns = ["prediction_id", "predicted_at", "machineid", "failure_probability", "predicted_label"]
+    return Gate(["prediction_id"], columns, checks.prediction_rules(), {"machineid": (f.machines, "machineid")})
+
+
+def _retried_log(f: Fleet) -> str:
+    """Batches by id modulo 5: some sent twice, one torn before its manifest, one refused."""
+    def build(path):
+        for part in (0, 1, 0, 2, 2):
+            append_batch(_log_batch(f, f"prediction_id % 5 = {part}"), path, f"part-{part}")
+        _log_batch(f, "prediction_id % 5 = 3").write.parquet(f"{path}/data/batch=part-3/attempt=torn")
+
+    return _stored_path(f, "retried_log", build)
+
+
+def _read_retried(f: Fleet) -> DataFrame:
+    return read_log(f.spark, _retried_log(f), f.table("log_rows").schema)
+
+
+def _gate_report(f: Fleet) -> DataFrame:
+    """What a batch of all rows of some machines, some of them twice, would break after two thirds of the rows were committed."""
+    gate = _log_gate(f)
+
+    def build(path):
+        sound = _log_batch(f, "prediction_id % 3 < 2 AND failure_probability <= 1").join(f.machines, "machineid", "left_semi")
+        append_batch(sound.select(f.table("log_rows").columns), path, "first", gate)
+
+    path = _stored_path(f, "gated_log", build)
+    again = _log_batch(f, "prediction_id % 3 > 0").union(_log_batch(f, "prediction_id % 30 = 2"))
+    doubtful = again.withColumn("machineid", F.when(F.col("prediction_id") % 7 > 0, F.col("machineid")))
+    return violations(doubtful, path, gate)
+
+
 def _prediction_log(f: Fleet) -> str:
+    """The same batch sent twice: a job that ran again."""
     def build(path):
-        files.append_log(scoring.log_rows(_ensemble(f), _features(f)), path)
+        for _ in range(2):
+            append_batch(scoring.log_rows(_ensemble(f), _features(f), F.col("observation_time")), path, "features")
 
     return _stored_path(f, "prediction_log", build)
 
 
+def _log(f: Fleet) -> DataFrame:
+    return read_log(f.spark, _prediction_log(f), scoring.LOG_SCHEMA)
+
+
 def _logged(f: Fleet) -> DataFrame:
-    return files.read_prediction_log(f.spark, _prediction_log(f))
+    return _log(f).where(F.col("features").isNotNull())
 
 
 def _monitored(f: Fleet) -> DataFrame:
@@ -234,8 +323,9 @@ def _monitored(f: Fleet) -> DataFrame:
 
 def _monitor_log(f: Fleet) -> DataFrame:
     path = f"{_scratch(f)}/model_monitoring"
-    files.append_log(_monitored(f), path)
-    return f.spark.read.parquet(path)
+    for _ in range(2):
+        append_batch(_monitored(f), path, "2024-02-01")
+    return read_log(f.spark, path, _monitored(f).schema)
 
 
 def _metric_export(f: Fleet) -> DataFrame:
@@ -260,7 +350,8 @@ def storage_queries() -> dict[str, Query]:
             F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))),
         "s5_repeated_load": _on(lambda f: _base_load(f, 2)),
         "s6_feature_read": _on(_features),
-        "s7_prediction_log": _on(lambda f: f.spark.read.parquet(_prediction_log(f))),
+        "s7_prediction_log": _on(_log),
+        "s7_retried_batches": _on(_read_retried),
         "s8_monitoring_log": _on(lambda f: _rounded(plain(_monitor_log(f)), 4)),
         "s9_reference_sample": _on(lambda f: files.reference_sample(_features(f), 5000)),
         "s10_log_read": _on(lambda f: _logged(f).agg(F.count(F.lit(1)).alias("logged"))),
@@ -288,6 +379,7 @@ def check_queries() -> dict[str, Query]:
             "errors": (f.errors, [*required, "errorid"]),
             "maintenance": (f.maintenance, [*required, "comp"]),
             "failures": (f.failures, [*required, "failure"])})),
+        "c1_to_c4_gate": _on(_gate_report),
         # Scores are stretched beyond their range so that the rules find something.
         "c4_check": _on(lambda f: checks.failed_checks(
             f.scored.select((F.col("score") * 4).alias("p"), (F.col("label") * 2).alias("y")),
@@ -314,20 +406,18 @@ def _standardised(rows: DataFrame):
 
 
 def _cross_validation(f: Fleet) -> DataFrame:
-    return training.cross_validate(_parts(f).train, max_iter=LR_ITERATIONS)
+    path = _stored_path(f, "cross_validation", lambda p: training.cross_validate(
+        _parts(f).train, max_iter=LR_ITERATIONS).write.parquet(p))
+    return f.spark.read.parquet(path)
 
 
 def _out_of_sample(f: Fleet) -> DataFrame:
     """Base models that have not seen the validation rows the meta learner is fitted on."""
     parts = _parts(f)
     linear = fit_logistic(parts.train, max_iter=LR_ITERATIONS)
-    boosted = fit_boosted(parts.train, max_depth=3, learning_rate=0.1, n_estimators=5)
-    return train_ensemble(linear, boosted, parts.val).evaluate(parts.test)
-
-
-def _ablation(f: Fleet) -> DataFrame:
-    weight = split.positive_weight(_features(f)).first()["scale_pos_weight"]
-    return training.ablation(_parts(f), SMALL_PARAMS | {"scale_pos_weight": weight})
+    best, _, models = _search(f)
+    found = models.get((best["max_depth"], best["learning_rate"], best["n_estimators"]))
+    return train_ensemble(linear, found or fit_boosted(parts.train, **best), parts.val).evaluate(parts.test)
 
 
 def _round_trip(f: Fleet) -> DataFrame:
@@ -352,12 +442,11 @@ def model_queries() -> dict[str, Query]:
         "m7_logistic": _on(lambda f: training.test_report(
             fit_logistic(_parts(f).fit_rows, max_iter=LR_ITERATIONS), _parts(f).test)),
         "m8_cross_validation": _on(_cross_validation),
+        "m8_cross_validation_summary": _on(lambda f: training.cross_validation_summary(_cross_validation(f))),
         "m9_boosted": _on(lambda f: training.test_report(
-            fit_boosted(_parts(f).fit_rows, max_depth=3, learning_rate=0.1, n_estimators=5), _parts(f).test)),
-        "m10_grid_search": _on(lambda f: training.search(
-            _parts(f).train, _parts(f).val, SMALL_GRID,
-            split.positive_weight(_features(f)).first()["scale_pos_weight"])[1]),
-        "m11_refit_and_test": _on(lambda f: training.train_boosted(_parts(f), SMALL_GRID)[2]),
+            fit_boosted(_parts(f).fit_rows, **training.PUBLISHED), _parts(f).test)),
+        "m10_grid_search": _on(lambda f: _search(f)[1]),
+        "m11_refit_and_test": _on(lambda f: training.test_report(_boosted(f), _parts(f).test)),
         "m12_coefficients": _on(lambda f: _ensemble(f).linear.importance(f.spark)),
         "m12_gains": _on(lambda f: _ensemble(f).boosted.importance(f.spark)),
         "m13_stacked": _on(lambda f: _ensemble(f).stack(_features(f)).select(*keys, "p_linear", "p_boosted")),
@@ -366,7 +455,7 @@ def model_queries() -> dict[str, Query]:
         "m15_threshold_sweep": _on(lambda f: ev.threshold_sweep(f.scored)),
         "m15_best_threshold": _on(lambda f: ev.best_threshold(f.scored)),
         "m16_predict": _on(lambda f: ev.predict_at(f.scored, 0.3).select("event_id", "score", "predicted")),
-        "m17_ablation": _on(_ablation),
+        "m17_ablation": _on(lambda f: training.ablation(_parts(f), _search(f)[0], full=_boosted(f))),
         "m18_round_trip": _on(_round_trip),
     }
 
@@ -472,4 +561,4 @@ def stream_queries() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     return (quality_queries() | exploration_queries() | feature_queries() | storage_queries()
-            | check_queries() | model_queries() | evaluation_queries() | scoring_queries() | stream_queries())
+            | quarantine_queries() | check_queries() | model_queries() | evaluation_queries() | scoring_queries() | stream_queries())

@@ -9,6 +9,9 @@ from fleetlens.functions.columns import key_hash, micros
 from fleetlens.operators.ensemble import MODEL_VERSION, Ensemble
 from fleetlens.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 
+LOG_SCHEMA = ("prediction_id long, predicted_at timestamp_ntz, machineid string, observation_time timestamp_ntz, "
+              "failure_probability decimal(8,6), predicted_label int, model_version string, features string")
+
 
 def risk_level(probability: Column, threshold: float) -> Column:
     return (F.when(probability >= threshold, "HIGH")

@@ -5,32 +5,38 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import key_hash, micros
 from fleetlens.operators.checks import broken_constraints
+from fleetlens.operators.promote import KINDS, judged
 from fleetlens.schemas import FEATURES, RAW_FILES, STAGING_COLUMNS
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Headers in lower case, every column as text; no pass over the data for types."""
-    df = spark.read.option("header", True).csv(path)
-    return df.toDF(*[c.lower() for c in df.columns])
+def read_csv_text(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
+    """Headers in lower case, every column as text; no pass over the data for types.
+
+    A file whose header differs from the others' fails the read instead of
+    being taken column by column. ``with_source`` adds ``source_file``.
+    """
+    df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    named = [F.col(f"`{c}`").alias(c.lower()) for c in df.columns]
+    return df.select(*named, *([F.col("_metadata.file_path").alias("source_file")] if with_source else []))
 
 
-def read_staging(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
+def read_staging(spark: SparkSession, folder: str, with_source: bool = False) -> tuple[dict[str, DataFrame], list[str]]:
     """The raw files that exist, by table, and the names of the missing ones."""
     tables, missing = {}, []
     for file_name, table in RAW_FILES.items():
         try:
-            df = read_csv_text(spark, f"{folder}/{file_name}")
+            df = read_csv_text(spark, f"{folder}/{file_name}", with_source)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error.getCondition()):
                 raise
             missing.append(file_name)
             continue
-        tables[table] = df.select(*STAGING_COLUMNS[table])
+        tables[table] = df.select(*STAGING_COLUMNS[table], *(["source_file"] if with_source else []))
     return tables, missing
 
 
@@ -69,6 +75,34 @@ def load_base_tables(tables: dict[str, DataFrame], folder: str, strict: bool = F
     return stored
 
 
+def load_with_quarantine(staging: dict[str, DataFrame], folder: str) -> DataFrame:
+    """Store judged rows, accepted and rejected apart, and report how many there were of each.
+
+    One pass a table: the write deals rows to both folders and counts them on the way.
+    """
+    spark, counts = next(iter(staging.values())).sparkSession, []
+    for name, df in staging.items():
+        seen = Observation()
+        keep = ["source_file"] if "source_file" in df.columns else []
+        rows = judged(df, name, keep).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.count_if("rejected").alias("rejected"))
+        rows.write.mode("overwrite").partitionBy("rejected").parquet(f"{folder}/{name}")
+        counts.append((name, seen.get["n"], seen.get["n"] - seen.get["rejected"], seen.get["rejected"]))
+    return spark.createDataFrame(counts, "table_name string, read_rows long, accepted long, rejected long")
+
+
+def accepted_rows(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Typed rows of a load with quarantine, machines without repetitions."""
+    rows = spark.read.parquet(f"{folder}/{table}").where(F.col("rejected") == "false").select(*KINDS[table])
+    return rows.distinct() if table == "machines" else rows
+
+
+def rejected_rows(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Rows in quarantine as they came, with the reasons and, where it is known, their file."""
+    rows = spark.read.parquet(f"{folder}/{table}").where(F.col("rejected") == "true")
+    return rows.select("raw.*", "reasons", *(c for c in rows.columns if c == "source_file"))
+
+
 def store_features(features: DataFrame, path: str) -> DataFrame:
     return replace_table(features, path, ["machineid", "observation_time"])
 

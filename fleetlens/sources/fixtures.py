@@ -108,6 +108,24 @@ TABLE_SQL = {
         FROM events WHERE event_type = 'purchase' AND value > 100""",
 }
 
+# Staging text in which some values cannot be read: words, impossible dates, numbers out of range.
+_SPOILT = {
+    "machines": ["machineid", "model", "CASE WHEN age LIKE '%3' THEN CONCAT(age, ' years') ELSE age END AS age"],
+    "telemetry": ["CASE WHEN datetime LIKE '%13:00:00%' THEN 'soon' ELSE datetime END AS datetime", "machineid", "volt",
+                  "CASE WHEN rotate LIKE '%7000' THEN CONCAT(rotate, 'x') ELSE rotate END AS rotate",
+                  "CASE WHEN pressure LIKE '101%' THEN '123456.7' ELSE pressure END AS pressure", "vibration"],
+    "errors": ["CASE WHEN datetime LIKE '%-07 %' THEN '2024-13-45 00:00:00' ELSE datetime END AS datetime", "machineid", "errorid"],
+    "maintenance": ["CASE WHEN datetime LIKE '% 05:00:00%' THEN '' ELSE datetime END AS datetime", "machineid", "comp"],
+    "failures": ["datetime", "machineid", "CASE WHEN failure = 'comp3' THEN NULL ELSE failure END AS failure"],
+}
+TABLE_SQL |= {f"spoilt_{name}": f"SELECT {', '.join(columns)} FROM ({TABLE_SQL[f'staging_{name}']}) s"
+              for name, columns in _SPOILT.items()}
+# Log rows as batches send them; some ids come again and some rows break a rule.
+TABLE_SQL["log_rows"] = """
+        SELECT event_id AS prediction_id, ts AS predicted_at, CAST(user_id - user_id % 3 AS {S}) AS machineid,
+               CAST(value / 400.0 AS DOUBLE) AS failure_probability, CAST(event_id % 2 AS INT) AS predicted_label
+        FROM events"""
+
 
 def duck_sql(table: str) -> str:
     """The same mapping in DuckDB's dialect, as a parenthesised subquery."""
