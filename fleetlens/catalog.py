@@ -30,6 +30,7 @@ from fleetlens.session import scratch_root
 from fleetlens.sources import files
 from fleetlens.sources.fixtures import Fleet, fleet
 from fleetlens.sources.log import Gate, append_batch, read_log, violations
+from fleetlens.streaming.features import rolling_sensors_stream
 from fleetlens.streaming.run import drain
 from fleetlens.streaming.scoring import prediction_log_stream
 from fleetlens.streaming.traffic import latency_quantile_stream, request_rate_stream
@@ -556,6 +557,7 @@ def stream_queries() -> dict[str, Query]:
         "b13_latency_p95_stream": _on(lambda f: _rounded(
             latency_quantile_stream(_request_stream(f), *_stream_folders(f)))),
         "b5_prediction_log_stream": _on(_scoring_stream),
+        "f2_rolling_sensors_stream": _on(lambda f: rolling_sensors_stream(f.stream("telemetry"), *_stream_folders(f))),
     }
 
 

@@ -79,7 +79,7 @@ def _sensor_windows(w: CellWindow) -> list[str]:
     return cols
 
 
-def _sensor_results() -> list[str]:
+def sensor_results() -> list[str]:
     """Mean and population std from count, sum and sum of squares."""
     cols = []
     for name in sensor_features():
@@ -104,7 +104,7 @@ def rolling_sensors(telemetry: DataFrame, cell: int = CELL) -> DataFrame:
     """32 rolling columns over (t - h, t] for 3, 12 and 24 hours."""
     spine, combine = _sensor_measures(telemetry)
     out = over_cells([spine], {}, combine, _sensor_windows, lookback=DAY, cell=cell)
-    return out.selectExpr("machineid", OBSERVED, *_sensor_results())
+    return out.selectExpr("machineid", OBSERVED, *sensor_results())
 
 
 def _events(errors=None, maintenance=None, failures=None) -> dict[str, list[DataFrame]]:
@@ -202,7 +202,7 @@ def build_features(machines, telemetry, errors, maintenance, failures,
         carry=list(events), lookback=DAY, lookahead=DAY, cell=cell,
     )
     event_cols = [c for c in FEATURES if c in out.columns and c not in sensor_features()]
-    wide = out.selectExpr("machineid", OBSERVED, *_sensor_results(), *event_cols, "label")
+    wide = out.selectExpr("machineid", OBSERVED, *sensor_results(), *event_cols, "label")
     joined = wide.join(static_features(machines), "machineid", "left")
     return joined.select("machineid", "observation_time", "model", "age", "age_category",
                          *sensor_features(), *event_cols, "label")

@@ -145,12 +145,21 @@ class Fleet:
     def parquet(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def table(self, name: str) -> DataFrame:
-        sql = TABLE_SQL[name].format(
+    def stream(self, name: str, **options) -> DataFrame:
+        """A table derived from ``events``, as its files arrive."""
+        events = self.spark.readStream.schema(self.parquet("events").schema).options(**options)
+        events.parquet(f"{self.sf_dir}/events.parque[t]").createOrReplaceTempView("fixture_arriving")  # a file or a folder of files
+        return self.spark.sql(self._sql(name).replace("FROM events", "FROM fixture_arriving"))
+
+    def _sql(self, name: str) -> str:
+        return TABLE_SQL[name].format(
             S="STRING", HOUR="CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ)",
             HALF="TIMESTAMP_NTZ '2024-01-16 00:00:00'",
             K="CAST(get_json_object(props, '$.k') AS DOUBLE)",
         )
+
+    def table(self, name: str) -> DataFrame:
+        sql = self._sql(name)
         source = "supplier" if "FROM supplier" in sql else "events"
         self.parquet(source).createOrReplaceTempView(f"fixture_{source}")
         return self.spark.sql(sql.replace(f"FROM {source}", f"FROM fixture_{source}"))

@@ -1,8 +1,13 @@
 """A stream that has read everything equals the batch result."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fleetlens import catalog
+from fleetlens.functions.columns import DAY, HOUR
+from fleetlens.operators.features import rolling_sensors
+from fleetlens.sources.fixtures import fleet
+from fleetlens.streaming.features import measures, merged, rolling_sensors_stream, windows
 from fleetlens.streaming.traffic import request_rate_stream
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,3 +36,39 @@ def test_scoring_stream_logs_every_row(spark):
     both = logged.join(batch.withColumnRenamed("failure_probability", "p"), ["machineid", "observation_time"])
     assert both.count() == batch.count() == logged.count()
     assert both.where(F.abs(F.col("failure_probability") - F.col("p")) > 1e-9).count() == 0
+
+
+def _telemetry_in_parts(spark, folder, cuts):
+    """Readings in files that follow no order of time."""
+    readings = fleet(spark, SF_DIR).telemetry
+    for part in cuts:
+        readings.where(f"id % {len(cuts)} = {part}").drop("id").coalesce(1).write.mode("append").parquet(folder)
+    schema = readings.drop("id").schema
+    return readings, spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_rolling_features_of_shuffled_files_equal_the_batch(spark, tmp_path):
+    readings, stream = _telemetry_in_parts(spark, f"{tmp_path}/in", (2, 0, 3, 1))
+    # A machine without a name, a time without numbers, a time read twice.
+    odd = readings.drop("id").limit(3).withColumn("machineid", F.lit(None).cast("string")).withColumn("volt", F.lit(None).cast("decimal(8,4)"))
+    odd.union(odd).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    got = rolling_sensors_stream(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", late="60 days")
+    want = rolling_sensors(readings.drop("id").union(odd).union(odd))
+    assert got.columns == want.columns
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # A second run with nothing new changes nothing; one with more readings goes on from the state.
+    more = readings.drop("id").withColumn("volt", (F.col("volt") + 1).cast("decimal(8,4)")).limit(40)
+    more.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    again = rolling_sensors_stream(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", late="60 days")
+    want = rolling_sensors(readings.drop("id").union(odd).union(odd).union(more))
+    assert again.exceptAll(want).isEmpty() and want.exceptAll(again).isEmpty()
+
+
+def test_window_sums():
+    u = np.array([0, HOUR, 3 * HOUR, 4 * HOUR]) + 10 * DAY
+    values = np.array([[1.0, np.nan, 5, 5]] * 2 + [[3.0, 2, 5, 5]] * 2)
+    out = windows(u, measures(values), np.arange(4))
+    volt_3h = out[:, 1:5]
+    assert volt_3h[:, 0].tolist() == [1, 2, 2, 2] and volt_3h[:, 1].tolist() == [1, 2, 4, 6]
+    again, held = merged(np.concatenate([u, u[:1]]), np.vstack([measures(values), measures(values[:1])]))
+    assert again.tolist() == u.tolist() and held[:, 0].tolist() == [2, 1, 1, 1]
