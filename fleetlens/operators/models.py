@@ -45,14 +45,14 @@ class FittedModel:
         raw = [f"_{out}_{c}" for c in ("x", "raw", "prob", "pred")]
         model = self.model.copy()
         model.setFeaturesCol(raw[0]).setRawPredictionCol(raw[1]).setProbabilityCol(raw[2]).setPredictionCol(raw[3])
-        scored = model.transform(rows.withColumn(raw[0], self.preparation.vector()))
+        scored = model.transform(self.preparation.assembled(rows, raw[0]))
         return scored.withColumn(out, vector_to_array(raw[2])[1]).drop(*raw)
 
     def importance(self, spark: SparkSession) -> DataFrame:
         """Coefficient or gain per feature, largest first."""
         linear = self.kind == "logistic"
         values = self.model.coefficients if linear else self.model.featureImportances
-        pairs = [(n, float(v)) for n, v in zip(self.preparation.names, values.toArray())]
+        pairs = [(n, float(v)) for n, v in zip(self.preparation.feature_names(spark), values.toArray())]
         name = "coefficient" if linear else "gain"
         return spark.createDataFrame(pairs, f"feature string, {name} double").orderBy(F.desc(name), "feature")
 
@@ -89,7 +89,7 @@ def fit_logistic(rows: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORI
     balance = balanced_weights(rows).collect()  # one row per class
     n = sum(b["n"] for b in balance)
     weights = {b["label"]: b["class_weight"] for b in balance}
-    vectors = rows.select("label", _weight(weights).alias("w"), prep.vector().alias("x"))
+    vectors = prep.assembled(rows, "x").select("label", _weight(weights).alias("w"), "x")
     return FittedModel("logistic", prep, logistic_on(vectors, n, max_iter, "w"), {"max_iter": max_iter})
 
 
@@ -123,7 +123,7 @@ def prepare_boosted(rows: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEG
     if n > max_training_rows:
         place = F.pmod(observation_hash(), F.lit(1 << 40)) / float(1 << 40)
         rows, n = rows.where(place < max_training_rows / n), max_training_rows
-    vectors = rows.select("label", prep.vector().alias("x")).coalesce(max(1, -(-n // ROWS_A_PARTITION)))
+    vectors = prep.assembled(rows, "x").select("label", "x").coalesce(max(1, -(-n // ROWS_A_PARTITION)))
     return Prepared(prep, stored(vectors), scale_pos_weight)
 
 

@@ -5,6 +5,7 @@ from math import factorial
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetlens.operators import explain, preprocess, scoring, training, trees
@@ -64,6 +65,25 @@ def test_first_category_and_unseen_category_are_all_zero(feature_frame):
         assert sum(row.select(*[c.alias(n) for n, c in dummies.items()]).first()) == 0
 
 
+def test_thousands_of_categories_fill_sparse_vectors(spark, feature_frame):
+    serials = [f"é{i:04d}" if i % 7 == 0 else f"s{i:04d}" for i in range(5000)]
+    many = spark.createDataFrame([(i, v) for i, v in enumerate(serials)], "i long, serial string")
+    few = feature_frame.limit(40).withColumn("i", F.row_number().over(Window.orderBy("age", *KEY)).cast("long"))
+    rows = many.join(few, "i", "left").withColumn("label", F.coalesce("label", (F.col("i") % 11 == 0).cast("int")))
+    rows = rows.withColumn("age", F.coalesce("age", F.col("i") * 1.0))
+    prep = preprocess.learn(rows, ["age"], ["serial", "model"], scale=False)
+    assert set(prep.categories) == {"model"} and prep.dictionaries["serial"][1] == 5000
+    names = prep.feature_names(spark)
+    inline = len(prep.names)
+    assert names[inline:] == [f"serial_{v}" for v in sorted(serials)[1:]]
+    seen = prep.assembled(rows.where("i in (3, 7)").unionByName(rows.limit(1).withColumns({"serial": F.lit("new"), "i": F.lit(-1).cast("long")})), "x")
+    for r in seen.collect():
+        hot = [names[j] for j in r["x"].toArray().nonzero()[0] if j >= inline]
+        assert r["x"].size == len(names) and hot == ([f"serial_{r['serial']}"] if r["i"] > 0 else [])
+    model = fit_logistic(rows, ["age"], ["serial", "model"], max_iter=5)
+    assert model.importance(spark).count() == len(names) and 0 < model.score(rows).agg(F.avg("score")).first()[0] < 1
+
+
 def test_split_is_stratified_disjoint_and_repeatable(feature_frame):
     rows = stratified_split(feature_frame).select(*KEY, "label", "split").collect()
     assert len(rows) == feature_frame.count()
