@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from fleetlens.llm.shared import encoder, scratch_path, slices
 
 #: Characters of text in a chunk; a longer text ends one by itself.
-CHUNK_CHARS = 12 << 20
+CHUNK_CHARS = 16 << 20
 #: Ranges of word hashes. A task holds the distinct words of one range at a time.
 WORD_RANGES = 4096
 #: Longer texts are cut into pre-tokens piece by piece, at a blank behind a word.
