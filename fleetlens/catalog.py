@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import num, plain
-from fleetlens.operators import checks, drift, explain, promote, scoring, split, traffic, training
+from fleetlens.operators import checks, drift, explain, promote, scoring, sketches, split, traffic, training
 from fleetlens.operators import distributions as di
 from fleetlens.operators import evaluate as ev
 from fleetlens.operators import failures as fa
@@ -496,6 +496,19 @@ def _feature_drift(f: Fleet) -> DataFrame:
     return drift.drift_by_column(_features(f), drift.logged_features(_logged(f)))
 
 
+def _sketched_drift(f: Fleet) -> DataFrame:
+    """Which scores from daily sketches are off the exact ones by no more than they say."""
+    log = f.table("prediction_log")
+    late = log.where(F.col("ts") >= F.lit("2024-01-16").cast("timestamp"))
+    columns = [*FIXTURE_NUMERIC, "flat"]
+    current = scoring.from_feature_map(late, "features", columns, [])
+    parts = (sketches.column_sketches(f.table("baseline"), columns),
+             sketches.column_sketches(current, columns, F.to_date("ts")))
+    exact = drift.numeric_drift(f.table("baseline"), current, columns).select("feature_name", F.col("drift_score").alias("exact"))
+    return sketches.sketched_drift(*parts).join(exact, "feature_name").select(
+        "feature_name", num(F.col("exact"), 6).alias("exact"), (F.abs(F.col("drift_score") - F.col("exact")) <= F.col("error")).alias("within_error"))
+
+
 def scoring_queries() -> dict[str, Query]:
     return {
         "b1_batch_scores": _on(lambda f: scoring.score_batch(_ensemble(f), _features(f))),
@@ -516,6 +529,7 @@ def scoring_queries() -> dict[str, Query]:
         "b8_column_drift_ks": _on(lambda f: _rounded(_fixture_drift(f, drift.KOLMOGOROV))),
         "b8_column_drift_psi": _on(lambda f: _rounded(_fixture_drift(f, drift.STABILITY))),
         "b8_feature_drift": _on(lambda f: _rounded(_feature_drift(f))),
+        "b8_sketched_drift": _on(_sketched_drift),
         "b9_dataset_drift": _on(lambda f: drift.dataset_drift(_fixture_drift(f))),
         "b10_monitoring_rows": _on(lambda f: _rounded(plain(_monitored(f)), 4)),
         "b11_request_rate": _on(lambda f: _rounded(traffic.request_rate(f.requests, "handler"))),
