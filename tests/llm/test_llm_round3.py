@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import zlib
+from collections import Counter
 
 import brute
 import duckdb
@@ -18,7 +19,7 @@ import tiktoken
 from compare import mismatch
 from conftest import SF_DIR, TURNS
 
-from fleetlens.llm import bytebpe, clustering, repair
+from fleetlens.llm import bytebpe, clustering, langid, repair
 from fleetlens.llm import queries as q
 from fleetlens.llm.oracle import oracle_sql
 
@@ -208,3 +209,42 @@ def test_pre_tokens_of_long_texts_and_chunks(spark, monkeypatch):
 def test_packed_numbers():
     for numbers in ([], [0], [0, 1, 255], [256, 70000, 1], [1 << 31, 5]):
         assert bytebpe._unpacked(bytebpe._packed(np.array(numbers, dtype=np.int64))).tolist() == numbers
+
+
+def _plain_columns(text):
+    """Hashed runs of two and three characters, with whole numbers of Python."""
+    mask, shift = (1 << 64) - 1, 64 - (langid.COLUMNS.bit_length() - 1)
+    c = [32, *(ord(x) if x.isalpha() else 32 for x in text.lower()), 32, 32]
+    for i in range(len(c) - 1):
+        if c[i] == 32 and c[i + 1] == 32:
+            continue
+        pair = (c[i] * 0x9E3779B97F4A7C15 + c[i + 1] * 0xC2B2AE3D27D4EB4F) & mask
+        values = [pair]
+        if i + 2 < len(c):
+            values.append((pair + c[i + 2] * 0x165667B19E3779F9) * 0xD6E8FEB86659FD93 & mask)
+        for v in values:
+            yield ((v ^ v >> 29) * 0xBF58476D1CE4E5B9 & mask) >> shift
+
+
+def test_op10_is_naive_bayes(spark, edge_dir):
+    """Labels and scores against counting in plain Python."""
+    for folder in (SF_DIR, edge_dir):
+        docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+        train = [(t, lang) for d, t, lang in docs if t is not None and lang is not None and zlib.crc32(str(d).encode()) % 4 != 2]
+        counts = {lang: Counter() for lang in sorted({lang for _, lang in train})}
+        for t, lang in train:
+            counts[lang].update(_plain_columns(t))
+        prior = Counter(lang for _, lang in train)
+        smooth = langid.SMOOTHING
+        whole = {lang: sum(n.values()) + smooth * langid.COLUMNS for lang, n in counts.items()}
+        got = {(r["doc_id"], r["lang_pred"]): r["score"] for r in q.op10_language_id(spark, folder).collect()}
+        for d, t, _ in docs:
+            if not any(x.isalpha() for x in t or ""):
+                assert got[d, "und"] == 0
+                continue
+            columns = Counter(_plain_columns(t))
+            score = {lang: math.log(prior[lang] / len(train)) + sum(k * math.log((n[c] + smooth) / whole[lang]) for c, k in columns.items())
+                     for lang, n in counts.items()}
+            best = max(score, key=score.get)
+            share = 1 / sum(math.exp(max(-700.0, s - score[best])) for s in score.values())
+            assert got[d, best] == pytest.approx(share, abs=2e-3)
