@@ -576,5 +576,6 @@ def stream_queries() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return (quality_queries() | exploration_queries() | feature_queries() | storage_queries()
-            | quarantine_queries() | check_queries() | model_queries() | evaluation_queries() | scoring_queries() | stream_queries())
+    # Models before the logs that need them: each query then does its own part of the training.
+    return (quality_queries() | exploration_queries() | feature_queries() | model_queries() | storage_queries()
+            | quarantine_queries() | check_queries() | evaluation_queries() | scoring_queries() | stream_queries())
