@@ -7,7 +7,9 @@ tables. Functions are looked up lazily so that importing the catalog is cheap.
 from __future__ import annotations
 
 from collections.abc import Callable
+from types import SimpleNamespace
 
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from fleetlens.operators import service as ma
 from fleetlens.operators.ensemble import Ensemble, train_ensemble
 from fleetlens.operators.models import FittedModel, fit_boosted, fit_logistic
 from fleetlens.operators.promote import KINDS
-from fleetlens.operators.preprocess import apply_columns, learn
+from fleetlens.operators.preprocess import Preparation, apply_columns, learn
 from fleetlens.schemas import STAGING_COLUMNS
 from fleetlens.session import scratch_root
 from fleetlens.sources import files
@@ -509,6 +511,29 @@ def _sketched_drift(f: Fleet) -> DataFrame:
         "feature_name", num(F.col("exact"), 6).alias("exact"), (F.abs(F.col("drift_score") - F.col("exact")) <= F.col("error")).alias("within_error"))
 
 
+# A linear model and a meta learner with given parameters, for results that do not depend on a fit.
+GIVEN_MEANS = {"age": 10.0, "voltage_mean_3h": 170.0, "vibration_mean_24h": 42.0, "error_count_24h": 0.5, "days_since_last_failure": 8.0}
+GIVEN_SCALES = {"age": 5.0, "voltage_mean_3h": 8.0, "vibration_mean_24h": 4.0, "error_count_24h": 1.0, "days_since_last_failure": 6.0}
+GIVEN_MODELS = ["model1", "model2", "model3", "model4"]
+GIVEN_COEFFICIENTS = [0.5, -0.25, 1.5, 0.75, -0.5, 0.125, -0.375, 0.625]
+GIVEN_META = [-2.0, 3.0, 1.5]
+GIVEN_THRESHOLD = 0.3
+
+
+def _given_impacts(f: Fleet) -> DataFrame:
+    prep = Preparation(list(GIVEN_MEANS), GIVEN_MEANS, GIVEN_SCALES, {"model": GIVEN_MODELS})
+    model = FittedModel("logistic", prep, SimpleNamespace(coefficients=Vectors.dense(GIVEN_COEFFICIENTS)))
+    return _rounded(explain.linear_impacts(model, _features(f)))
+
+
+def _given_stack(f: Fleet) -> DataFrame:
+    ensemble = Ensemble(None, None, GIVEN_META, GIVEN_THRESHOLD)
+    rows = f.scored.select("event_id", F.col("score").alias("p_linear"), (F.col("score") * F.col("score")).alias("p_boosted"))
+    scored = ev.predict_at(rows.withColumn("score", ensemble.probability()), ensemble.threshold)
+    return scored.select("event_id", num(F.col("score"), 6).alias("probability"), "predicted",
+                         scoring.risk_level(F.col("score"), ensemble.threshold).alias("risk_level"))
+
+
 def scoring_queries() -> dict[str, Query]:
     return {
         "b1_batch_scores": _on(lambda f: scoring.score_batch(_ensemble(f), _features(f))),
@@ -517,6 +542,8 @@ def scoring_queries() -> dict[str, Query]:
         "b3_feature_map": _on(lambda f: scoring.from_feature_map(
             f.table("prediction_log").drop("ts"), "features", FIXTURE_NUMERIC, FIXTURE_CATEGORICAL)),
         "b4_linear_impacts": _on(lambda f: explain.linear_impacts(_ensemble(f).linear, _features(f))),
+        "b4_linear_impacts_given": _on(_given_impacts),
+        "b1_given_stack": _on(_given_stack),
         "b4_tree_impacts": _on(lambda f: explain.tree_impacts(
             _ensemble(f).boosted, f"{_ensemble_path(f)}/boosted", _features(f))),
         "b4_tree_impacts_dashboard": _on(lambda f: explain.tree_impacts(
