@@ -7,6 +7,7 @@ tables. Functions are looked up lazily so that importing the catalog is cheap.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from types import SimpleNamespace
 
 from pyspark.ml.linalg import Vectors
@@ -227,13 +228,20 @@ def _csv_folder(f: Fleet) -> DataFrame:
     return files.loaded_report(*files.read_staging(f.spark, _raw_folder(f, leave_out=("maintenance",))))
 
 
-def _base_load(f: Fleet, repeats: int) -> DataFrame:
+def _loaded(f: Fleet, repeats: int) -> dict[str, DataFrame]:
     """CSV to base tables; loading twice must leave the same tables."""
     staging, _ = files.read_staging(f.spark, _raw_folder(f))
     folder = _scratch(f)
     for _ in range(repeats):
         stored = files.load_base_tables(promote.promote(staging), folder)
-    return dq.row_counts(stored)
+    return stored
+
+
+def _loaded_rows(f: Fleet, repeats: int) -> DataFrame:
+    """All rows of the loaded tables, without the ids that a load gives out."""
+    tables = [df.drop("id").withColumnsRenamed({c: "detail" for c in ("model", "errorid", "comp", "failure")}).withColumn("table_name", F.lit(name))
+              for name, df in _loaded(f, repeats).items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 _reports: dict[tuple, DataFrame] = {}
@@ -348,10 +356,12 @@ def storage_queries() -> dict[str, Query]:
     return {
         "s1_csv_source": _on(_csv_source),
         "s2_csv_folder": _on(_csv_folder),
-        "s3_base_load": _on(lambda f: _base_load(f, 1)),
+        "s3_base_load": _on(lambda f: dq.row_counts(_loaded(f, 1))),
+        "s3_loaded_rows": _on(lambda f: _loaded_rows(f, 1)),
         "s4_feature_store": _on(lambda f: _features(f).agg(
             F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))),
-        "s5_repeated_load": _on(lambda f: _base_load(f, 2)),
+        "s5_repeated_load": _on(lambda f: dq.row_counts(_loaded(f, 2))),
+        "s5_reloaded_rows": _on(lambda f: _loaded_rows(f, 2)),
         "s6_feature_read": _on(_features),
         "s7_prediction_log": _on(_log),
         "s7_retried_batches": _on(_read_retried),
