@@ -110,21 +110,35 @@ class ByteTokens(CachedPieces):
     """Byte-level BPE by the ``tokenizers`` library.
 
     Within a match of its pattern, white space never follows what is not white
-    space, and no match looks back: texts are cut before such white space.
+    space, a stop or comma never follows a letter, and no match looks back:
+    texts may be cut there. A word of plain letters needs no splitter and goes
+    to the library's model at once.
     """
 
     _space = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-    pieces = re.compile(f"[{_space}]*[^{_space}]+|[{_space}]+").findall
+    #: White space besides blanks and line ends.
+    rare = re.compile(f"[{_space}]".replace(r"\n", "").replace(" ", "")).search
+    pieces = re.compile(r"[ \n]*[A-Za-z]+(?=[ \n.,]|\Z)|[ \n]*[^ \n]+|[ \n]+").findall
+    all_pieces = re.compile(f"[{_space}]*[^{_space}]+|[{_space}]+").findall
+    word = re.compile(" ?[A-Za-z]+").fullmatch
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = _tokenizer(path)
 
     def _cut(self, text: str) -> list[str]:
-        return self.pieces(text)
+        return self.all_pieces(text) if self.rare(text) else self.pieces(text)
 
     def _fresh(self, pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        tokens, out, slow = self.tokenizer.model.tokenize, {}, []
+        for p in pieces:
+            if self.word(p):
+                out[p] = array("I", [t.id for t in tokens(p.replace(" ", "\u0120"))]).tobytes()  # how byte-level writes a blank
+            else:
+                slow.append(p)
+        for p, e in zip(slow, self.tokenizer.encode_batch_fast(slow, add_special_tokens=False)):
+            out[p] = array("I", e.ids).tobytes()
+        return [out[p] for p in pieces]
 
 
 class WordTokens(CachedPieces):

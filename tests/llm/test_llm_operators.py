@@ -278,8 +278,9 @@ def test_packing_of_long_runs(spark):
 def test_pieces_give_the_ids_of_whole_texts():
     rng = random.Random(8)
     own = shared.ByteTokens(public_tokenizers.path("byte_bpe_50k.json"))
-    texts = ["".join(rng.choice(["a", " ", "\n", "'s", "1", ".", "é", "\u3000", "\x1c", "\u0301", "\t", "\xa0", "\u200b", "\x85", "<|endoftext|>"])
+    texts = ["".join(rng.choice(["a", " ", "\n", "'s", "1", ".", "é", "\u3000", "\x1c", "\u0301", "\t", "\xa0", "\u200b", "\x85", "<|endoftext|>", "Zap", ",", "ß"])
                      for _ in range(40)) for _ in range(400)]
+    texts += [t.translate(str.maketrans("", "", "\u3000\t\xa0\x85")) for t in texts]
     for text, ids in zip(texts, brute.token_ids("byte_bpe_50k.json", texts, 0)):
         assert own.encode([text])[0] == ids[:-1].tobytes()
 
