@@ -179,7 +179,7 @@ def test_changed_lines_are_found(spark):
                 rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
     gone = {r["doc_id"] for r in lines.repeated_lines(spark.createDataFrame(rows, DOCS)).collect()}
     assert all(d % 2 for d in gone)
-    for at_limit, floor in ((False, 0.97), (True, 0.85)):
+    for at_limit, floor in ((False, 0.97), (True, 0.9)):
         pairs = [k for k, v in kind.items() if v == at_limit]
         assert sum(2 * k + 1 in gone for k in pairs) >= floor * len(pairs)
 
@@ -190,7 +190,7 @@ def test_equal_lines_of_all_kinds_go(spark):
     again = [*kinds[:-1], "One two three four five"]
     docs = spark.createDataFrame([(1, "\n".join(kinds)), (2, "\n".join(["", *again, "---", "own"])), (3, "\n---\nown")], DOCS)
     got = {r["doc_id"]: r["text"] for r in lines.dedupe_lines(docs).collect()}
-    assert got == {1: "\n".join(kinds), 2: "\n---\nown", 3: "\n---\nown"}
+    assert got == {1: "\n".join(kinds), 2: "\n---\nown", 3: "\n---"}
 
 
 def test_long_lines_of_any_kind_are_cut(spark):
@@ -222,10 +222,9 @@ def test_lines_keep_their_first_occurrence(spark):
             (3, None), (4, ""), (5, "One two three four five six"), (6, long), (7, long + " tail")]
     docs = spark.createDataFrame([(*r, 7) for r in rows], DOCS + ", no int")
     got = {r["doc_id"]: r for r in lines.dedupe_lines(docs).collect()}
-    assert got[1]["text"] == rows[1][1] and got[2]["text"] == "short\nown words of this very line"
+    assert got[1]["text"] == rows[1][1] and got[2]["text"] == "own words of this very line"
     assert got[3]["text"] is None and got[4]["text"] == "" and got[5]["text"] == "" and got[5]["no"] == 7
-    assert got[6]["text"] == long and got[7]["text"] == " ".join([f"w{i}" for i in range(2 * lines.PART_WORDS, 2 * lines.PART_WORDS + 10)] + ["tail"])
-    assert got[7]["n_removed"] == 2
+    assert got[6]["text"] == long and got[7]["text"] == "" and got[7]["n_removed"] == 3  # the rests share ten of eleven words
 
 
 def test_chat_windows(spark):

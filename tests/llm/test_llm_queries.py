@@ -90,7 +90,7 @@ def _lines_gone(docs):
     for d, t in docs:
         for no, line in enumerate((t or "").split("\n")):
             words = tuple(w for w in (v.strip(".,;:!?\"'()[]") for v in line.lower().split()) if w)
-            if t is not None and len(words) >= 2:
+            if t is not None and any(c.isalnum() for w in words for c in w):
                 places.setdefault(words, []).append((d, no))
     different = list(places)
     counts, group = [Counter(w) for w in different], list(range(len(different)))
