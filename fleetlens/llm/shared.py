@@ -27,10 +27,10 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{scratch_root(spark)}/{what}-{uuid.uuid4().hex[:8]}"
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+def stored(df: DataFrame, what: str, compression: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and go on from the written table."""
     path = scratch_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
