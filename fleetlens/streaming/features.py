@@ -39,8 +39,8 @@ def _extreme_names() -> list[str]:
     return [f"{sensor}_{m}_3h" for m in ("min", "max") for sensor in SENSORS.values()]
 
 
-OUT = ", ".join(["machineid string", "u long", "k long", "version long",
-                 *(f"{c} long" for c in [*_sum_names(), *_extreme_names()])])
+_NUMBERS = ["u", "version", "k", *_sum_names(), *_extreme_names()]
+OUT = ", ".join(["machineid string", *(f"{c} long" for c in _NUMBERS)])
 
 
 def measures(values: np.ndarray) -> np.ndarray:
@@ -64,7 +64,7 @@ def merged(u: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(u: np.ndarray, held: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Window sums and 3 h extremes at the times with positions ``at``: columns like OUT from k on, without version."""
+    """Window sums and 3 h extremes at the times with positions ``at``: columns like OUT from k on; an extreme of nothing is a limit."""
     running = np.vstack([np.zeros((1, _SUMS), dtype=np.int64), held[:, :_SUMS].cumsum(axis=0)])
     out = [held[at, :1]]
     for hours in WINDOW_HOURS:
@@ -88,7 +88,8 @@ class RollingSensors(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         machineid, cell = key
-        new = pd.concat(list(rows))
+        new = list(rows)
+        new = pd.concat(new) if len(new) > 1 else new[0]
         u, held, version = new["u"].to_numpy(dtype=np.int64), measures(new[list(SENSORS)].to_numpy(dtype=float)), 0
         low, high = u.min(), u.max()
         if self.state.exists():
@@ -101,12 +102,10 @@ class RollingSensors(StatefulProcessor):
         self.handle.registerTimer((cell + self.cell) // 1000)
         at = np.flatnonzero((u >= max(low, cell)) & (u < min(high + DAY, cell + self.cell)))
         if len(at):
-            out = pd.DataFrame(windows(u, held, at), columns=["k", *_sum_names(), *_extreme_names()])
-            for name in _extreme_names():
-                out[name] = out[name].astype("Int64").mask(out[name].isin([_NONE_LOW, _NONE_HIGH]))
+            # One block of numbers: groups are many and small, and every column made on its own costs more than its sums.
+            numbers = np.column_stack([u[at], np.full(len(at), version), windows(u, held, at)])
+            out = pd.DataFrame(numbers, columns=_NUMBERS)
             out.insert(0, "machineid", machineid)
-            out.insert(1, "u", u[at])
-            out.insert(3, "version", version)
             yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -135,6 +134,7 @@ def rolling_sensors_stream(telemetry: DataFrame, out: str, checkpoint: str, late
         f"explode(array_compact(array({home}, CASE WHEN u > {home} + {cell - DAY}L THEN {home} + {cell}L END))) AS cell")
     changed = placed.groupBy("machineid", "cell").transformWithStateInPandas(
         RollingSensors(cell), OUT, outputMode="Update", timeMode="eventTime")
+    changed = changed.withColumns({c: F.when(~F.col(c).isin(_NONE_LOW, _NONE_HIGH), F.col(c)) for c in _extreme_names()})
 
     def add(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")

@@ -1,13 +1,18 @@
 """A stream that has read everything equals the batch result."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fleetlens import catalog
 from fleetlens.functions.columns import DAY, HOUR
 from fleetlens.operators.features import rolling_sensors
 from fleetlens.sources.fixtures import fleet
-from fleetlens.streaming.features import measures, merged, rolling_sensors_stream, windows
+from fleetlens.plans.cells import CELL
+from fleetlens.schemas import SENSORS
+from fleetlens.streaming.features import RollingSensors, measures, merged, rolling_sensors_stream, windows
 from fleetlens.streaming.traffic import request_rate_stream
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,3 +77,16 @@ def test_window_sums():
     assert volt_3h[:, 0].tolist() == [1, 2, 2, 2] and volt_3h[:, 1].tolist() == [1, 2, 4, 6]
     again, held = merged(np.concatenate([u, u[:1]]), np.vstack([measures(values), measures(values[:1])]))
     assert again.tolist() == u.tolist() and held[:, 0].tolist() == [2, 1, 1, 1]
+
+
+def test_a_group_leaves_as_one_block_of_whole_numbers():
+    """Columns made one by one cost a group of twenty readings more than all of its sums."""
+    state = SimpleNamespace(exists=lambda: False, update=lambda held: None)
+    handle = SimpleNamespace(getValueState=lambda *_: state, registerTimer=lambda at: None)
+    processor = RollingSensors(CELL)
+    processor.init(handle)
+    readings = pd.DataFrame({"u": [HOUR, HOUR, 5 * HOUR]} | {raw: [np.nan, np.nan, 20_000.0] for raw in SENSORS})
+    out = next(processor.handleInputRows(("7", 0), iter([readings]), None))
+    assert out["machineid"].tolist() == ["7", "7"] and out["u"].tolist() == [HOUR, 5 * HOUR]
+    assert out["k"].tolist() == [2, 1] and out["version"].tolist() == [0, 0]
+    assert set(out.drop(columns="machineid").dtypes) == {np.dtype("int64")}
