@@ -21,6 +21,7 @@ from conftest import SF_DIR, TURNS
 
 from fleetlens.llm import bytebpe, clustering, langid, repair
 from fleetlens.llm import queries as q
+from fleetlens.llm import shared
 from fleetlens.llm.oracle import oracle_sql
 
 VECTORS = "vec_id long, embedding array<double>"
@@ -248,3 +249,15 @@ def test_op10_is_naive_bayes(spark, edge_dir):
             best = max(score, key=score.get)
             share = 1 / sum(math.exp(max(-700.0, s - score[best])) for s in score.values())
             assert got[d, best] == pytest.approx(share, abs=2e-3)
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = spark.range(20_000).groupBy("id").count()
+    table = shared.stored(rows, "counted")
+    assert not shuffled() - before and table.count() == 20_000 == rows.count()
+    assert spark.conf.get(shared.DROP_SHUFFLES) == "false"
