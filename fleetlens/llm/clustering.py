@@ -9,12 +9,12 @@ block, cut into column blocks of SHARD_WIDTH dimensions. A round:
 * ``reduceByKey`` on the row block adds the parts, and the least sum gives each
   vector's centroid;
 * the choices go back to the column blocks, which stay where they are (both
-  sides share one partitioner), and every shard adds up its own slice of the
+  sides share one partitioner), and every task adds up its own slices of the
   new centroids.
 
 Column blocks are written once to the shared folder; no round builds on the
-lineage of the one before. Only centroids, k times dimensions whole numbers,
-pass through the driver.
+lineage of the one before. Only centroids and every task's sums for them, k
+times dimensions whole numbers, pass through the driver.
 """
 
 from __future__ import annotations
@@ -133,20 +133,30 @@ def _slices(centroids: np.ndarray) -> dict[int, np.ndarray]:
     return {s: centroids[:, low:low + SHARD_WIDTH] for s, low in enumerate(range(0, centroids.shape[1], SHARD_WIDTH))}
 
 
-def _assigned(blocks: RDD, slices: dict[int, np.ndarray], parts: int) -> RDD:
+def _assigned(blocks: RDD, slices: dict[int, np.ndarray], parts: int, tasks: int) -> RDD:
     """(block, (numbers, distances))"""
     given = blocks.context.broadcast(slices)
-    partial = blocks.map(lambda b: (b[0][0], _partial(b[1], given.value[b[0][1]])))
+    partial = blocks.coalesce(tasks).map(lambda b: (b[0][0], _partial(b[1], given.value[b[0][1]])))
     return partial.reduceByKey(add, parts).mapValues(_nearest)
 
 
-def _updated(blocks: RDD, chosen: RDD, slices: dict[int, np.ndarray], parts: int) -> dict[int, np.ndarray]:
+def _updated(blocks: RDD, chosen: RDD, slices: dict[int, np.ndarray], parts: int, tasks: int) -> dict[int, np.ndarray]:
     """Every shard's next slice of the centroids."""
     k, shards = len(slices[0]), len(slices)
     told = chosen.flatMap(lambda b: [((b[0], s), b[1][0]) for s in range(shards)]).partitionBy(parts)
-    summed = blocks.join(told, parts).map(lambda b: (b[0][1], _sums(*b[1], k)))
-    total = summed.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]), min(parts, shards))
-    return total.map(lambda t: (t[0], _moved(slices[t[0]], *t[1]))).collectAsMap()
+
+    def summed(rows: Iterable) -> Iterator[tuple]:
+        numbers = {}
+        for key, value in rows:
+            if value.ndim == 1:
+                numbers[key] = value
+            else:
+                yield key[1], _sums(value, numbers.pop(key), k)
+
+    # Of one partitioner, so a partition reads its choices, then its blocks, in one Python process; a join takes three.
+    # What comes back has the size of the centroids, once a task.
+    total = told.union(blocks).coalesce(tasks).mapPartitions(summed).reduceByKeyLocally(lambda a, b: (a[0] + b[0], a[1] + b[1]))
+    return {s: _moved(slices[s], *t) for s, t in total.items()}
 
 
 def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dimensions: int = DIMENSIONS,
@@ -170,9 +180,11 @@ def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dimensi
     rows = table.select("block", "shard", "width", "wide", "data").rdd
     parts = max(rows.getNumPartitions(), spark.sparkContext.defaultParallelism)
     blocks = rows.map(lambda r: ((r["block"], r["shard"]), _matrix(r["data"], r["width"], r["wide"], scale))).partitionBy(parts)
+    # Every task starts Python, also over an empty partition: there are no more of them than column blocks.
+    tasks = min(parts, table.count())
     for _ in range(rounds):
-        slices = _updated(blocks, _assigned(blocks, slices, parts), slices, parts)
-    found = _assigned(blocks, slices, parts).map(
+        slices = _updated(blocks, _assigned(blocks, slices, parts, tasks), slices, parts, tasks)
+    found = _assigned(blocks, slices, parts, tasks).map(
         lambda b: (b[0], b[1][0].tolist(), [min(d, _LONGEST) for d in b[1][1].tolist()]))
     found = spark.createDataFrame(found, "block long, cluster array<int>, distance array<long>", verifySchema=False)
     held = table.where("shard = 0").select("block", "ids").join(found, "block")
