@@ -6,7 +6,7 @@ import random
 
 from pyspark import RDD
 
-from fleetlens.llm import clustering
+from fleetlens.llm import clustering, lines
 
 
 def _tasks(spark, work) -> int:
@@ -31,3 +31,24 @@ def test_clustering_starts_no_tasks_for_empty_partitions(spark, monkeypatch):
     rounds = 4
     # Once a round the reduce of distances; the rest by column blocks, of which there are two.
     assert _tasks(spark, lambda: clustering.cluster(frame, rounds=rounds)) < many * (rounds + 3)
+
+
+def test_lines_of_an_unlike_first_member_are_not_all_paired(spark, monkeypatch):
+    # Near copies whose group's first member may be unlike them, and unlike lines that share four words.
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(24)]
+    near = [" ".join(base[:i % 24] + [f"x{i}"] + base[i % 24 + 1:]) for i in range(60)]
+    unlike = [" ".join(base[:4] + [f"y{rng.randrange(10**9)}" for _ in range(20)]) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(near + unlike)), "doc_id long, text string")
+    sizes = []
+    keep = lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, what, *more: _counted(keep(df, what, *more), what, sizes))
+    gone = {r["doc_id"] for r in lines.repeated_lines(docs).collect()}
+    assert gone == set(range(1, 60))  # the first near copy and all unlike lines stay
+    # Before: one pair for each two of the lines that are not linked with their first.
+    assert sum(n for what, n in sizes if what == "pairs") < 120
+
+
+def _counted(df, what, sizes):
+    sizes.append((what, df.count()))
+    return df
