@@ -315,6 +315,13 @@ def test_training_rows_are_bounded(feature_frame):
     assert few.scale_pos_weight == prepare_boosted(feature_frame).scale_pos_weight
 
 
+def test_all_rows_are_trained_on(spark, feature_frame):
+    many = feature_frame.select("label", *KEY, "age", "model").crossJoin(spark.range(300)).withColumn(
+        "observation_time", F.expr("observation_time + MAKE_DT_INTERVAL(0, 0, 0, id)"))
+    prepared = prepare_boosted(many, ["age"], ["model"])
+    assert prepared.vectors.count() == 300 * feature_frame.count() > 200_000
+
+
 def test_fits_side_by_side_equal_fits_one_by_one(spark, parts):
     grid = {"max_depth": [1, 3], "learning_rate": [0.1, 0.3], "n_estimators": [2, 5]}
     _, tried, _ = training.search(parts.train, parts.val, grid)
