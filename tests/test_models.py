@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleetlens.operators import explain, preprocess, scoring, training, trees
+from fleetlens.operators import boosting, explain, models, preprocess, scoring, training, trees
 from fleetlens.operators.ensemble import Ensemble, train_ensemble
-from fleetlens.operators.evaluate import curve_areas, curve_areas_by
+from fleetlens.operators.evaluate import curve_areas, curve_areas_by, pr_auc_of
 from fleetlens.operators.models import FittedModel, fit_boosted, fit_logistic, fit_prepared, prepare_boosted
 from fleetlens.operators.split import balanced_weights, positive_weight, stratified_folds, stratified_split
 from fleetlens.schemas import NUMERIC_FEATURES
@@ -301,6 +301,67 @@ def test_every_stage_has_the_area_of_its_own_model(parts):
         assert areas[k] == pytest.approx((exact["pr_auc"], exact["average_precision"]))
 
 
+def test_trees_of_one_task_are_those_of_spark(monkeypatch, parts):
+    """Under 10,000 rows thresholds are the same too, and rows that were trained on have the same scores.
+
+    Where two features part these rows alike either may be tested, so other rows may differ.
+    """
+    prepared = prepare_boosted(parts.train, scale_pos_weight=3.7)
+    params = {"max_depth": 4, "learning_rate": 0.2, "n_estimators": 8}
+    found = []
+    for values in (models.VALUES_IN_A_TASK, 0):
+        monkeypatch.setattr(models, "VALUES_IN_A_TASK", values)
+        model = fit_prepared(prepared, **params)
+        scores = {tuple(r)[:2]: r["score"] for r in model.score(parts.train).select(*KEY, "score").collect()}
+        found.append((scores, training.stage_areas(model, prepared), model.model.totalNumNodes))
+        assert model.model.getNumTrees == 8 and model.model.treeWeights == [1.0] + [0.2] * 7 and model.model.getMaxIter() == 8
+    (scores, areas, nodes), (scores_by_jobs, areas_by_jobs, nodes_by_jobs) = found
+    assert scores == pytest.approx(scores_by_jobs) and areas == pytest.approx(areas_by_jobs) and len(areas) == 8
+    assert nodes == nodes_by_jobs
+
+
+def test_a_fit_has_as_many_jobs_whatever_the_trees(spark, parts):
+    prepared, jobs = prepare_boosted(parts.train, scale_pos_weight=3.0), []
+    for trees_wanted in (2, 12):
+        spark.sparkContext.setJobGroup(f"fit-{trees_wanted}", "a fit")
+        fit_prepared(prepared, max_depth=3, n_estimators=trees_wanted)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit-{trees_wanted}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs[0] == jobs[1]
+
+
+def test_thresholds_are_midpoints_or_weighted_quantiles():
+    assert boosting.thresholds(np.array([3.0, 0.0, 1.0, 1.0]), np.ones(4)).tolist() == [0.5, 2.0]
+    assert boosting.thresholds(np.zeros(5), np.ones(5)).tolist() == []
+    cuts = boosting.thresholds(np.arange(3200.0), np.ones(3200))
+    assert cuts.tolist() == [100 * k - 0.5 for k in range(1, 32)]
+    heavy = boosting.thresholds(np.arange(3200.0), np.where(np.arange(3200) < 1600, 3.0, 1.0))
+    assert len(heavy) == 31 and (heavy < 1600).sum() in (23, 24)
+
+
+@pytest.mark.parametrize("labels", [[0, 2], [1, -1]])
+def test_other_labels_than_two_are_refused(labels):
+    with pytest.raises(ValueError, match="labels"):
+        boosting._Rows(np.zeros((1, 2)), np.array(labels, dtype=float), 1.0)
+
+
+def test_rows_alike_make_one_leaf():
+    for labels in ([0, 0, 0], [1, 1, 1], [0, 1, 0]):
+        rows = boosting._Rows(np.ones((2, 3)), np.array(labels, dtype=float), 2.0)
+        grown = list(boosting.boosted(rows, 3, 0.1, 4))
+        assert [len(nodes) for nodes in grown] == [1] * 4 and [n[0]["rawCount"] for n in grown] == [3] * 4
+    share = (-1 + 2 - 1) / 4  # the positive weighs two
+    assert grown[0][0]["prediction"] == pytest.approx(share)
+
+
+def test_area_of_an_array_is_the_exact_one(spark):
+    rows = [(int(i * 7 % 5 == 0), (i * 13 % 40) / 40) for i in range(200)]
+    exact = curve_areas(spark.createDataFrame(rows, "label int, score double")).first()["pr_auc"]
+    label, score = (np.array(c, dtype=float) for c in zip(*rows))
+    assert pr_auc_of(label, score) == pytest.approx(exact)
+    assert pr_auc_of(np.zeros(3), np.ones(3)) is None
+
+
 def test_boosting_stops_after_rounds_without_a_gain():
     assert training.best_stage([0.1, 0.3, 0.2, 0.25, 0.9], patience=2) == (2, 0.3)
     assert training.best_stage([0.1, 0.3, 0.2, 0.25, 0.9], patience=3) == (5, 0.9)
